@@ -1,6 +1,6 @@
 """All queries, collected from the modules that register them."""
 
-from checks import dead_letters, diagnostics, jobs, kpis  # noqa: F401
+from checks import dead_letters, diagnostics, event_state, jobs, kpis, metrics, scalars  # noqa: F401
 from checks.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
