@@ -13,25 +13,25 @@ def counters(t: Inputs):
 
 def rounded(df, *columns):
     """Sums of doubles depend on the order of the rows in their last digits."""
-    return df.select([F.round(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return df.select([F.round(c, 9).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def _increase_sql(hours: int, step: int) -> str:
-    """Growth in (at - hours, at] at every full step, per metric and event type."""
+    """Growth in (until - hours, until] at every full step, per metric and event type."""
     return f"""
-        SELECT metric, event_type, at AS ts, SUM(delta) AS grown FROM (
+        SELECT metric, event_type, until AS ts, SUM(delta) AS grown FROM (
           SELECT 'events_total' AS metric, event_type, ts, d_events AS delta FROM growth
           UNION ALL SELECT 'value_sum', event_type, ts, d_value FROM growth) g,
           LATERAL (SELECT time_bucket(INTERVAL {step} HOURS, ts - INTERVAL 1 MICROSECOND,
                                       TIMESTAMP '1970-01-01')
-                          + to_hours({step} * CAST(n AS INTEGER)) AS at
+                          + to_hours({step} * CAST(n AS INTEGER)) AS until
                    FROM range(1, {hours // step + 1}) AS r(n)) w
         WHERE delta IS NOT NULL GROUP BY 1, 2, 3"""
 
 
 @query(
     "m2_rate_by_event_type",
-    f"SELECT metric, event_type, ts, ROUND(grown / 21600.0, 6) AS rate FROM ({_increase_sql(6, 1)}) i",
+    f"SELECT metric, event_type, ts, ROUND(grown / 21600.0::DOUBLE, 9) AS rate FROM ({_increase_sql(6, 1)}) i",
 )
 def rate(t: Inputs):
     return rounded(samples.rate(t.samples, "6 hours", ["event_type"], "1 hour"), "rate")
@@ -40,7 +40,7 @@ def rate(t: Inputs):
 @query(
     "m2_rate_over_all",
     f"""
-    SELECT metric, ts, ROUND(SUM(grown) / 86400.0, 6) AS rate
+    SELECT metric, ts, ROUND(SUM(grown) / 86400.0::DOUBLE, 9) AS rate
     FROM ({_increase_sql(24, 24)}) i GROUP BY metric, ts""",
 )
 def rate_all(t: Inputs):
@@ -49,7 +49,7 @@ def rate_all(t: Inputs):
 
 @query(
     "m3_increase",
-    f"SELECT metric, event_type, ts, ROUND(grown, 6) AS increase FROM ({_increase_sql(3, 3)}) i",
+    f"SELECT metric, event_type, ts, ROUND(grown, 9) AS increase FROM ({_increase_sql(3, 3)}) i",
 )
 def increase(t: Inputs):
     return rounded(samples.increase(t.samples, "3 hours", ["event_type"]), "increase")
@@ -113,7 +113,7 @@ def buckets(t: Inputs):
              COALESCE(LAG(count) OVER (PARTITION BY q ORDER BY le), 0) AS below
       FROM b, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) v(q))
     SELECT q, ROUND(arg_min(CASE WHEN isinf(le) THEN low
-                      ELSE low + (le - low) * ((rank - below) / (count - below)) END, le), 6)
+                      ELSE low + (le - low) * ((rank - below) / (count - below)) END, le), 9)
              AS quantile
     FROM placed WHERE count >= rank GROUP BY q""",
 )
@@ -142,7 +142,7 @@ def topk(t: Inputs):
     f"""
     SELECT event_type, ts,
            ROUND(SUM(grown) FILTER (WHERE metric = 'value_sum')
-                 / NULLIF(SUM(grown) FILTER (WHERE metric = 'events_total'), 0), 6) AS mean_latency
+                 / NULLIF(SUM(grown) FILTER (WHERE metric = 'events_total'), 0), 9) AS mean_latency
     FROM ({_increase_sql(6, 6)}) i GROUP BY event_type, ts""",
 )
 def latency(t: Inputs):
