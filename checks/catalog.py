@@ -1,6 +1,15 @@
 """All queries, collected from the modules that register them."""
 
-from checks import dead_letters, diagnostics, event_state, jobs, kpis, metrics, scalars  # noqa: F401
+from checks import (  # noqa: F401
+    dead_letters,
+    diagnostics,
+    event_state,
+    jobs,
+    kpis,
+    metrics,
+    scalars,
+    streams,
+)
 from checks.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
