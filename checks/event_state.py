@@ -144,16 +144,26 @@ def totals(t: Inputs):
 MOVE_ORDER = ("move_id", "kind", "amount")
 
 
-def ledger_of(t: Inputs):
+def ledger_of(t: Inputs, **options):
     known = t.moves.join(t.products.select("product_id"), "product_id", "left_semi")
-    return stock.stock_ledger(t.products, known, MOVE_ORDER)
+    return stock.stock_ledger(t.products, known, MOVE_ORDER, **options)
 
 
-@query("r7_stock_ledger", "SELECT product_id, move_id, kind, ts AS event_timestamp, balance FROM ledger")
+LEDGER = "SELECT product_id, move_id, kind, ts AS event_timestamp, balance FROM ledger"
+
+
+@query("r7_stock_ledger", LEDGER)
 def ledger(t: Inputs):
     return ledger_of(t).select("product_id", "move_id", "kind", "event_timestamp", "balance")
 
 
+@query("r7_stock_ledger_hot_products", LEDGER)
+def ledger_hot(t: Inputs):
+    """Every product treated as a hot one."""
+    found = ledger_of(t, hot_above=0, width="1 day")
+    return found.select("product_id", "move_id", "kind", "event_timestamp", "balance")
+
+
 @query(
     "r8_low_stock_alerts",
     """
@@ -164,9 +174,7 @@ def low(t: Inputs):
     return stock.low_stock_alerts(ledger_of(t))
 
 
-@query(
-    "r9_reserve_greedy",
-    """
+GREEDY = """
     WITH RECURSIVE requests AS (
       SELECT l.product_id, l.id, l.amount, l.created_at, l.quantity, p.stock,
              ROW_NUMBER() OVER (PARTITION BY l.product_id
@@ -183,13 +191,25 @@ def low(t: Inputs):
                   ELSE f.remaining END
       FROM fold f JOIN requests r ON r.product_id = f.product_id AND r.n = f.n + 1
     )
-    SELECT product_id, id, amount, created_at AS event_timestamp, quantity, accepted FROM fold""",
-)
-def greedy(t: Inputs):
+    SELECT product_id, id, amount, created_at AS event_timestamp, quantity, accepted FROM fold"""
+
+
+def greedy_of(t: Inputs, **options):
     requests = t.lines.select(
         "product_id", "id", "amount", F.col("created_at").alias("event_timestamp"), "quantity"
     )
-    return stock.reserve_greedy(t.products, requests, ties=("id", "amount"), width="1 day")
+    return stock.reserve_greedy(t.products, requests, ties=("id", "amount"), **options)
+
+
+@query("r9_reserve_greedy", GREEDY)
+def greedy(t: Inputs):
+    return greedy_of(t)
+
+
+@query("r9_reserve_greedy_hot_products", GREEDY)
+def greedy_hot(t: Inputs):
+    """Every product treated as a hot one."""
+    return greedy_of(t, hot_above=0, width="1 day")
 
 
 @query(

@@ -55,23 +55,24 @@ def contained_in(
     lengths that needles really have, and those are matched by equality. Work grows with the
     texts' lengths, not with the number of pairs.
     """
-    wanted = needles.select(F.col(needle).alias("_text")).filter("_text is not null").distinct()
+    wanted = needles.select(F.col(needle).alias("_text")).filter("_text is not null")
     # One row per distinct length: bounded by the longest id.
     lengths = wanted.select(F.length("_text").alias("_length")).distinct()
-    within = haystacks.select(F.col(haystack).alias("_hay")).filter("_hay is not null").distinct()
-    sized = within.select(
-        "_hay", F.explode(F.sequence(F.lit(0), F.length("_hay"))).alias("_length")
-    ).join(lengths, "_length", "left_semi")
-    last_start = F.length("_hay") - F.col("_length") + 1
+    sized = (
+        haystacks.select(F.col(haystack).alias("_hay"))
+        .filter("_hay is not null")
+        .select("_hay", F.explode(F.sequence(F.lit(0), F.length("_hay"))).alias("_length"))
+        .join(lengths, "_length", "left_semi")
+    )
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_hay") - F.col("_length") + 1))
     pieces = sized.select(
         F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.when(F.col("_length") == 0, 1).otherwise(last_start)),
-                lambda start: F.substring(F.col("_hay"), start, F.col("_length")),
+            F.array_distinct(
+                F.transform(starts, lambda start: F.substring("_hay", start, F.col("_length")))
             )
         ).alias("_text")
-    ).distinct()
-    return wanted.join(pieces, "_text", "left_semi").select(F.col("_text").alias(needle))
+    )
+    return pieces.join(wanted, "_text", "left_semi").distinct().toDF(needle)
 
 
 def zero_filled(counts: DataFrame, key: str, count: str, expected: list[str]) -> DataFrame:

@@ -1,29 +1,38 @@
 """Running sums and previous-row lookups that stay parallel inside one hot key.
 
-A plain window over a key puts all of the key's rows into one task. Here each key is cut into
-slices of time. A first pass reduces every slice to one row (map-side, so a hot key costs
-nothing extra), and a window over those few rows gives the value each slice starts from. That
-start is added to the slice as one extra row, so the detail rows need only a window over
-(key, slice) and no join.
+A window over a key puts all of the key's rows into one task. That is the best plan for usual
+keys, which get it. Hot keys are cut into slices of time. A first pass reduces every slice to
+one row, combined before the shuffle, and a window over those few rows gives the value each
+slice starts from. That start joins the slice as one extra row in front, so the detail rows need
+only a window over (key, slice) and no join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tradewind.functions.timing import slice_of
+from tradewind.operators.hot import HOT_ABOVE, split_hot
 
 _SLICE, _START = "_slice", "_is_start"
 
 
-def _sliced(df: DataFrame, ts: str, width: str) -> DataFrame:
-    return df.withColumn(_SLICE, slice_of(ts, width)).withColumn(_START, F.lit(False))
+def _ordered(keys: list[str], ts: str, ties: list[str], marked: bool = True) -> WindowSpec:
+    front = [F.col(_START).desc()] if marked else []
+    return Window.partitionBy(*keys).orderBy(*front, F.col(ts), *ties)
 
 
-def _in_slice(keys: list[str], ts: str, ties: list[str]):
-    order = [F.col(_START).desc(), F.col(ts), *[F.col(tie) for tie in ties]]
-    return Window.partitionBy(*keys, _SLICE).orderBy(*order)
+def _with_starts(
+    rows: DataFrame, starts: DataFrame, add: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Put the start rows in front of the detail rows, add the window column, drop them again."""
+    marked = rows.withColumn(_START, F.lit(False)).unionByName(
+        starts.withColumn(_START, F.lit(True)), allowMissingColumns=True
+    )
+    return add(marked).filter(~F.col(_START)).drop(_START)
 
 
 def running_sum(
@@ -35,13 +44,37 @@ def running_sum(
     ties: list[str] = (),
     opening: DataFrame | None = None,
     width: str = "1 hour",
+    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over this and all earlier rows of the key.
 
-    Rows are ordered by ``ts`` then ``ties``. ``opening`` (keys + ``value``) is an amount each
-    key starts from. ``width`` bounds how much of a hot key one task sorts.
+    Rows are ordered by ``ts`` then ``ties``. ``opening`` (keys + ``value``, one row per key) is
+    an amount each key starts from. ``width`` bounds the part of a hot key one task sorts.
     """
-    sliced = _sliced(df, ts, width)
+    usual, hot = split_hot(df, keys, hot_above)
+    order = _ordered(keys, ts, list(ties), marked=opening is not None)
+    so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    if opening is None:
+        summed = usual.withColumn(out, so_far)
+    else:
+        summed = _with_starts(usual, opening, lambda rows: rows.withColumn(out, so_far))
+    if hot is None:
+        return summed
+    return summed.unionByName(sliced_sum(hot, keys, ts, value, out, ties, opening, width))
+
+
+def sliced_sum(
+    hot: DataFrame,
+    keys: list[str],
+    ts: str,
+    value: str,
+    out: str,
+    ties: list[str] = (),
+    opening: DataFrame | None = None,
+    width: str = "1 hour",
+) -> DataFrame:
+    """``running_sum`` for rows whose keys are known to be hot."""
+    sliced = hot.withColumn(_SLICE, slice_of(ts, width))
     totals = sliced.groupBy(*keys, _SLICE).agg(F.sum(value).alias(value))
     if opening is not None:
         before_all = opening.select(*keys, F.lit(None).cast("bigint").alias(_SLICE), value)
@@ -51,18 +84,12 @@ def running_sum(
         .orderBy(F.col(_SLICE).asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = (
-        totals.withColumn(value, F.sum(value).over(earlier))
-        .filter(F.col(value).isNotNull() & F.col(_SLICE).isNotNull())
-        .withColumn(_START, F.lit(True))
-    )
-    so_far = _in_slice(keys, ts, list(ties)).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        sliced.unionByName(starts, allowMissingColumns=True)
-        .withColumn(out, F.sum(value).over(so_far))
-        .filter(~F.col(_START))
-        .drop(_SLICE, _START)
+    starts = totals.withColumn(value, F.sum(value).over(earlier)).filter(
+        F.col(value).isNotNull() & F.col(_SLICE).isNotNull()
     )
+    order = _ordered([*keys, _SLICE], ts, list(ties))
+    so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return _with_starts(sliced, starts, lambda rows: rows.withColumn(out, so_far)).drop(_SLICE)
 
 
 def previous_row(
@@ -72,28 +99,30 @@ def previous_row(
     columns: list[str],
     ties: list[str] = (),
     prefix: str = "prev_",
-    width: str = "1 day",
+    width: str = "1 hour",
+    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Add ``prev_<column>`` for each of ``columns``: its value in the key's previous row."""
-    carried = F.struct(*columns)
-    sliced = _sliced(df, ts, width)
-    position = F.struct(ts, *ties)
-    lasts = sliced.groupBy(*keys, _SLICE).agg(F.max_by(carried, position).alias("_last"))
-    starts = (
-        lasts.withColumn(
-            "_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(_SLICE))
-        )
-        .filter(F.col("_last").isNotNull())
-        .select(*keys, _SLICE, "_last.*", F.lit(True).alias(_START))
-    )
-    before = _in_slice(keys, ts, list(ties))
 
-    def lagged(column: str) -> Column:
-        return F.lag(column).over(before).alias(prefix + column)
+    def lagged(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        previous = [F.lag(column).over(order).alias(prefix + column) for column in columns]
+        return rows.select("*", *previous)
+
+    usual, hot = split_hot(df, keys, hot_above)
+    compared = lagged(usual, _ordered(keys, ts, list(ties), marked=False))
+    if hot is None:
+        return compared
 
-    return (
-        sliced.unionByName(starts, allowMissingColumns=True)
-        .select("*", *[lagged(column) for column in columns])
-        .filter(~F.col(_START))
-        .drop(_SLICE, _START)
+    sliced = hot.withColumn(_SLICE, slice_of(ts, width))
+    lasts = sliced.groupBy(*keys, _SLICE).agg(
+        F.max_by(F.struct(*columns), F.struct(ts, *ties)).alias("_last")
+    )
+    slice_before = F.lag("_last").over(Window.partitionBy(*keys).orderBy(_SLICE))
+    starts = (
+        lasts.withColumn("_last", slice_before)
+        .filter(F.col("_last").isNotNull())
+        .select(*keys, _SLICE, "_last.*")
     )
+    order = _ordered([*keys, _SLICE], ts, list(ties))
+    found = _with_starts(sliced, starts, lambda rows: lagged(rows, order)).drop(_SLICE)
+    return compared.unionByName(found)

@@ -90,7 +90,7 @@ def lifecycle_violations(
         status_of(F.col("event_type")).alias("status"),
     ).filter("status is not null")
     compared = previous_row(
-        history, ["order_id"], "event_timestamp", ["status"], list(ties), width="1 day"
+        history, ["order_id"], "event_timestamp", ["status"], list(ties)
     )
     step, before = step_of(F.col("status")), step_of(F.col("prev_status"))
     left_final = (before == FINAL_STEP) & (F.col("status") != F.col("prev_status"))

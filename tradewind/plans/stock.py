@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions.timing import Instant, instant
-from tradewind.operators.slices import running_sum
-from tradewind.session import durable_folder
+from tradewind.operators.hot import HOT_ABOVE, split_hot
+from tradewind.operators.slices import running_sum, sliced_sum
 
 # ---- fixed values ---------------------------------------------------------------------------
 RESERVED, RELEASED, REFILLED = "reserved", "released", "refilled"
@@ -21,6 +25,7 @@ def stock_ledger(
     moves: DataFrame,
     ties: tuple[str, ...] = ("move_id",),
     width: str = "1 hour",
+    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Every move with its signed change and the product's stock after it.
 
@@ -31,7 +36,15 @@ def stock_ledger(
     signed = moves.withColumn("delta", (sign * F.col("quantity")).cast("bigint"))
     opening = products.select("product_id", F.col("stock").cast("bigint").alias("delta"))
     return running_sum(
-        signed, ["product_id"], "event_timestamp", "delta", "balance", list(ties), opening, width
+        signed,
+        ["product_id"],
+        "event_timestamp",
+        "delta",
+        "balance",
+        list(ties),
+        opening,
+        width,
+        hot_above,
     )
 
 
@@ -51,35 +64,93 @@ def reserve_greedy(
     requests: DataFrame,
     ties: tuple[str, ...] = ("order_id",),
     width: str = "1 hour",
+    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Decide each reservation in order: grant it if the stock left covers it, else skip it.
 
     A skipped request does not stop later, smaller ones. The result is ``requests`` with
-    ``accepted``; (event_timestamp, ties) must order the requests of a product uniquely.
-
-    Each decision depends on all before it, yet no product is folded row by row. While between
-    ``half`` and ``2 * half`` units are left, every request below ``half`` is granted, none of
-    ``2 * half`` or more is, and at most one in between, because granting it leaves less than
-    ``half``. So one running sum finds where a product leaves that range. A product passes each
-    range once, and the ranges halve: the number of passes is the number of binary digits of
-    the largest stock, whatever the number of requests. What a pass finds (one row per product)
-    is checkpointed.
+    ``accepted``; (event_timestamp, ties) must order the requests of a product uniquely. A
+    request for an unknown product, or for nothing, is not granted.
+
+    Usual products are folded in one pass over sorted partitions. A hot product would keep one
+    task busy, so hot ones are decided by ranges of stock instead (``_reserve_by_ranges``).
+    """
+    usual, hot = split_hot(requests, ["product_id"], hot_above)
+    decided = _reserve_by_folding(products, usual, ties)
+    if hot is None:
+        return decided
+    return decided.unionByName(_reserve_by_ranges(products, hot, ties, width))
+
+
+def _reserve_by_folding(
+    products: DataFrame, requests: DataFrame, ties: tuple[str, ...]
+) -> DataFrame:
+    """Walk through each product's requests in order, with the stock left in hand.
+
+    The product's stock comes as a row in front of its requests, so one shuffle brings both
+    together. Each partition holds whole products, sorted, and is read batch by batch, so memory
+    does not grow with the number of requests.
+    """
+    opening = products.select("product_id", F.col("stock").cast("bigint").alias("_stock"))
+    arranged = (
+        requests.withColumn("_stock", F.lit(None).cast("bigint"))
+        .unionByName(opening, allowMissingColumns=True)
+        .repartition("product_id")
+        .sortWithinPartitions(
+            "product_id", F.col("_stock").desc_nulls_last(), "event_timestamp", *ties
+        )
+    )
+    schema = T.StructType([*requests.schema.fields, T.StructField("accepted", T.BooleanType())])
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, left = None, 0
+        for batch in batches:
+            opens = batch["_stock"].notna().to_numpy()
+            stocks = batch["_stock"].fillna(0).astype("int64")
+            granted = []
+            for product, is_opening, stock, quantity in zip(
+                batch["product_id"], opens, stocks, batch["quantity"]
+            ):
+                if product != current:
+                    current, left = product, 0
+                if is_opening:
+                    left = stock
+                grant = not is_opening and 0 < quantity <= left
+                if grant:
+                    left -= quantity
+                granted.append(grant)
+            yield batch.assign(accepted=granted)[~opens][schema.names]
+
+    return arranged.mapInPandas(fold, schema)
+
+
+def _reserve_by_ranges(
+    products: DataFrame, requests: DataFrame, ties: tuple[str, ...], width: str
+) -> DataFrame:
+    """The same decisions without walking: for products with very many requests.
+
+    While between ``half`` and ``2 * half`` units are left, every request below ``half`` is
+    granted, none of ``2 * half`` or more is, and at most one in between, because granting it
+    leaves less than ``half``. So one running sum finds where a product leaves that range. A
+    product passes each range once, and the ranges halve: the number of passes is the number of
+    binary digits of the largest stock, whatever the number of requests. What a pass finds, one
+    row per product, is checkpointed.
     """
-    durable_folder(products.sparkSession)
     position = F.struct("event_timestamp", *ties)
     quantity = F.col("quantity")
     asked = requests.filter(quantity > 0).select("product_id", "event_timestamp", *ties, "quantity")
 
-    # Ranges a product has passed: the size below which requests were granted, and from where to where.
+    # Ranges a product has passed: the size below which requests were granted, from where to where.
     position_type = asked.select(position.alias("p")).schema["p"].dataType.simpleString()
     passed_type = f"array<struct<half:bigint,since:{position_type},until:{position_type}>>"
-    state = products.select(
+    wanted = products.join(requests.select("product_id"), "product_id", "left_semi")
+    state = wanted.select(
         "product_id",
         F.col("stock").cast("bigint").alias("left"),
         F.lit(None).cast(position_type).alias("since"),
         F.array().cast(passed_type).alias("passed"),
-    )
-    most = products.agg(F.max("stock")).first()[0] or 0
+    ).checkpoint()
+    most = state.agg(F.max("left")).first()[0] or 0
     for digit in reversed(range(int(most).bit_length())):
         state = _pass_range(state, asked, position, list(ties), F.lit(1 << digit), width).checkpoint()
 
@@ -108,7 +179,7 @@ def _pass_range(
     )
     is_small = F.col("quantity") < half
     small = F.when(is_small, F.col("quantity")).otherwise(0).cast("bigint")
-    summed = running_sum(
+    summed = sliced_sum(
         ahead.withColumn("small", small),
         ["product_id"],
         "event_timestamp",
