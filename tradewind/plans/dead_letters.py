@@ -168,9 +168,8 @@ def replay_due(dlq: DataFrame, threshold: int = REPLAY_THRESHOLD, healthy: bool
 def replay_if_due(dlq: DataFrame, threshold: int = REPLAY_THRESHOLD, healthy: bool = True, **replay_args) -> DataFrame:
     """The records to replay now: all of them when a replay is due, else none.
 
-    The decision is a one-row table joined to the letters, so it needs no round trip to the
-    driver and no count before the write.
+    The decision is a scalar subquery, so it needs no join and no count on the driver before
+    the write.
     """
-    due = replay_due(dlq, threshold, healthy).filter("action = 'REPLAY'").select(F.lit(1).alias("_due"))
-    gated = dlq.withColumn("_due", F.lit(1)).join(F.broadcast(due), "_due", "left_semi").drop("_due")
-    return replay(gated, **replay_args)
+    due = replay_due(dlq, threshold, healthy).select(F.col("action") == "REPLAY")
+    return replay(dlq.filter(due.scalar()), **replay_args)

@@ -33,7 +33,7 @@ def revenue_24h(revenue: DataFrame, as_of: Instant) -> DataFrame:
 def latest_revenue(revenue: DataFrame) -> DataFrame:
     """Revenue of the newest window; no row if there is no window yet."""
     newest = revenue.agg(
-        latest_value(revenue, "window_start", "total_revenue").alias("total_revenue"),
+        latest_value("window_start", "total_revenue").alias("total_revenue"),
         F.count("*").alias("windows"),
     )
     return newest.filter("windows > 0").select(

@@ -59,22 +59,31 @@ def order_status(events: DataFrame) -> DataFrame:
     """Current status of each order and when it got there.
 
     The furthest step wins, then the later event, so events may arrive in any order and more
-    than once. The same aggregate runs in a batch and as a stream in update mode.
+    than once. Per order only the last time of each status is kept, in plain columns, so the
+    aggregate is a hash aggregate. It runs in a batch and as a stream in update mode.
     """
     status = status_of(F.col("event_type"))
-    known = events.select("order_id", "event_timestamp", status.alias("status")).filter(
-        "status is not null"
+    last_times = [
+        F.max(F.when(F.col("status") == name, F.col("event_timestamp"))).alias(name)
+        for name in STEP_OF_STATUS
+    ]
+    per_order = (
+        events.select("order_id", "event_timestamp", status.alias("status"))
+        .filter("status is not null")
+        .groupBy("order_id")
+        .agg(*last_times)
     )
-    reached = F.struct(step_of(F.col("status")).alias("step"), "event_timestamp", "status")
-    return (
-        known.groupBy("order_id")
-        .agg(F.max(reached).alias("reached"))
-        .select(
-            "order_id",
-            F.col("reached.status").alias("status"),
-            F.col("reached.event_timestamp").alias("updated_at"),
-        )
+    # Both final statuses together count as one step, at the later of their times.
+    ended = F.greatest("FULFILLED", "CANCELLED")
+    chosen = (
+        F.when(F.col("FULFILLED") == ended, "FULFILLED")
+        .when(F.col("CANCELLED") == ended, "CANCELLED")
+        .when(F.col("PAID").isNotNull(), "PAID")
+        .when(F.col("RESERVATION_CONFIRMED").isNotNull(), "RESERVATION_CONFIRMED")
+        .otherwise("PENDING")
     )
+    reached_at = F.coalesce(ended, "PAID", "RESERVATION_CONFIRMED", "PENDING")
+    return per_order.select("order_id", chosen.alias("status"), reached_at.alias("updated_at"))
 
 
 def lifecycle_violations(
