@@ -177,3 +177,62 @@ def alert_rules(t: Inputs):
         .unionByName(value(dead_letters.replay_due(t.dead_letters), "messages", "dlq_messages"))
     )
     return alerting.evaluate_alerts(values)
+
+
+VS_AVERAGE = f"""
+    SELECT MAX(CASE WHEN days_ago = 0 THEN day_revenue END)
+             / (CAST(SUM(CAST(day_revenue AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*))
+             AS revenue_vs_average
+    FROM (SELECT (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(window_start)) // 86400000000
+                   AS days_ago,
+                 {money("total_revenue")} AS day_revenue
+          FROM revenue
+          WHERE window_start <= TIMESTAMP '{AS_OF}'
+            AND window_start > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAYS
+          GROUP BY 1) d"""
+
+
+@query("k1_revenue_vs_average", VS_AVERAGE)
+def vs_average(t: Inputs):
+    return kpis.revenue_vs_average(t.revenue, AS_OF)
+
+
+@query(
+    "k_snapshot",
+    f"""
+    WITH days AS (
+      SELECT {money("total_revenue")} AS r, SUM(order_count) AS n, AVG(avg_order_value) AS a
+      FROM revenue WHERE window_start > {DAY_AGO}),
+    hours AS (
+      SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE status = 'HEALTHY') AS healthy,
+             COUNT(*) FILTER (WHERE status = 'CRITICAL') AS critical
+      FROM ops WHERE window_start > {HOUR_AGO}),
+    recent_alerts AS (SELECT * FROM alerts WHERE alert_timestamp > {DAY_AGO}),
+    top AS (
+      SELECT product_id, SUM(units_sold) AS units, {money("revenue")} AS revenue FROM velocity
+      WHERE window_start > {DAY_AGO} GROUP BY 1 ORDER BY units DESC, product_id LIMIT 10),
+    lost AS (SELECT COUNT(*) AS n FROM abandoned WHERE detected_at > {DAY_AGO})
+    SELECT kpi, label, ROUND(CAST(value AS DOUBLE), 6) AS value FROM (
+      SELECT 'revenue_total_24h' AS kpi, NULL AS label, COALESCE(r, 0) AS value FROM days
+      UNION ALL SELECT 'order_count_24h', NULL, COALESCE(n, 0) FROM days
+      UNION ALL SELECT 'avg_order_value', NULL, COALESCE(a, 0) FROM days
+      UNION ALL SELECT 'revenue_per_minute', NULL, arg_max(total_revenue, window_start) FROM revenue
+      UNION ALL SELECT 'revenue_vs_average', NULL, revenue_vs_average FROM ({VS_AVERAGE}) v
+      UNION ALL SELECT 'fraud_alerts', severity, COUNT(*) FROM recent_alerts GROUP BY severity
+      UNION ALL SELECT 'fraud_by_type', alert_type, COUNT(*) FROM recent_alerts GROUP BY alert_type
+      UNION ALL SELECT 'fraud_alerts_per_hour', NULL, COUNT(*) / 24.0::DOUBLE FROM recent_alerts
+      UNION ALL SELECT 'units_sold_24h', NULL, COALESCE(SUM(units_sold), 0) FROM velocity
+                WHERE window_start > {DAY_AGO}
+      UNION ALL SELECT 'top_product_units', product_id, units FROM top
+      UNION ALL SELECT 'top_product_revenue', product_id, revenue FROM top
+      UNION ALL SELECT 'cart_abandoned_24h', NULL, n FROM lost
+      UNION ALL SELECT 'cart_abandonment_rate', NULL, CASE WHEN n > 0 THEN 100 ELSE 0 END FROM lost
+      UNION ALL SELECT 'cart_recovery_rate', NULL, 0 FROM lost
+      UNION ALL SELECT 'system_health_pct', NULL, CASE WHEN n = 0 THEN 0 ELSE healthy * 100.0::DOUBLE / n END FROM hours
+      UNION ALL SELECT 'system_status', status, COUNT(*) FROM ops WHERE window_start > {HOUR_AGO}
+                GROUP BY status
+      UNION ALL SELECT 'critical_alerts', NULL, critical FROM hours) x""",
+)
+def kpi_snapshot(t: Inputs):
+    found = kpis.snapshot(t.revenue, t.alerts, t.velocity, t.abandoned, t.ops, AS_OF)
+    return found.withColumn("value", F.round("value", 6))

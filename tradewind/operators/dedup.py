@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tradewind.operators.joins import EVENT_KEY
 from tradewind.operators.ranking import first_per_key
 
-EVENT_KEY = ["event_type", "event_id"]
-
 
 def dedup_events(
     events: DataFrame, ts: str = "event_timestamp", delay: str = "10 minutes"

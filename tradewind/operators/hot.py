@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.session import durable_folder
+from tradewind.session import stored
 
 # A key with more rows than this is not left to one task.
 HOT_ABOVE = 1_000_000
@@ -22,9 +22,8 @@ def split_hot(
     ``rows / hot_above`` hot keys; only that list is stored and joined back, and only their
     number comes to the driver.
     """
-    durable_folder(df.sparkSession)
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = counts.filter(F.col("_rows") > hot_above).select(*keys).checkpoint()
+    hot = stored(counts.filter(F.col("_rows") > hot_above).select(*keys))
     number = hot.count()
     if number == 0:
         return df, None

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from tradewind.functions.timing import micros, slice_of
 
 
+# An event id is shared by several event types of one order.
+EVENT_KEY = ["event_type", "event_id"]
+
+
+def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The right side of a semi or anti join, each key once.
+
+    Repeats collapse inside each task, before the shuffle the join needs anyway, so a key that
+    is repeated very often on this side reaches the join as one row.
+    """
+    return df.select(*keys).distinct()
+
+
 def unmatched_within(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, within: str
 ) -> DataFrame:
@@ -72,7 +85,7 @@ def contained_in(
             )
         ).alias("_text")
     )
-    return pieces.join(wanted, "_text", "left_semi").distinct().toDF(needle)
+    return pieces.join(wanted.distinct(), "_text", "left_semi").distinct().toDF(needle)
 
 
 def zero_filled(counts: DataFrame, key: str, count: str, expected: list[str]) -> DataFrame:
@@ -99,4 +112,4 @@ def not_yet_processed(events: DataFrame, history: DataFrame) -> DataFrame:
 
     The id alone is no key: one id travels through several event types of the same order.
     """
-    return events.join(history, ["event_type", "event_id"], "left_anti")
+    return events.join(distinct_keys(history, EVENT_KEY), EVENT_KEY, "left_anti")

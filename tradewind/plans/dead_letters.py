@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.scalars import label, parse_time, preview, service_of
 from tradewind.functions.timing import Instant, within_last
-from tradewind.operators.joins import zero_filled
+from tradewind.operators.joins import distinct_keys, zero_filled
 from tradewind.operators.ranking import highest
 
 # ---- fixed values ---------------------------------------------------------------------------
@@ -143,7 +143,8 @@ def replay(dlq: DataFrame, ids: list[str] | None = None, done: DataFrame | None
     """
     chosen = dlq if ids is None else dlq.filter(F.col("event_id").isin(ids))
     if done is not None:
-        chosen = chosen.join(done, ["event_id", "original_topic"], "left_anti")
+        keys = ["event_id", "original_topic"]
+        chosen = chosen.join(distinct_keys(done, keys), keys, "left_anti")
     return chosen.select(
         F.col("original_topic").alias("topic"),
         F.col("event_id").alias("key"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.money import money_avg, money_sum
 from tradewind.functions.scalars import seconds_since, whole_hours_since
 from tradewind.functions.timing import Instant
-from tradewind.operators.joins import contained_in
+from tradewind.operators.joins import contained_in, distinct_keys
 from tradewind.operators.ranking import highest, newest, share_of_total
 from tradewind.operators.reports import labelled_counts, stacked, total_and_breakdown
 
@@ -318,7 +318,7 @@ def fulfilled_vs_paid(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def fulfilled_without_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Fulfilled orders nobody paid for, newest first."""
     fulfilled = orders.filter(F.col("status") == "FULFILLED")
-    unpaid = fulfilled.join(payments.select("order_id"), "order_id", "left_anti")
+    unpaid = fulfilled.join(distinct_keys(payments, ["order_id"]), "order_id", "left_anti")
     return unpaid.select(
         "order_id", "user_id", "total_amount", "created_at", F.lit(None).cast("string").alias("payment_id")
     ).orderBy(F.col("created_at").desc(), "order_id")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.money import money_sum
 from tradewind.functions.scalars import label
-from tradewind.functions.timing import Instant, within_last
+from tradewind.functions.timing import Instant, instant, micros, within_last
 from tradewind.operators.ranking import latest_value, numbered_highest
+from tradewind.operators.reports import stacked
 
 DAY, HOUR = "24 hours", "1 hour"
 
@@ -30,6 +31,23 @@ def revenue_24h(revenue: DataFrame, as_of: Instant) -> DataFrame:
     )
 
 
+def revenue_vs_average(revenue: DataFrame, as_of: Instant, days: int = 30) -> DataFrame:
+    """Revenue of the last day divided by the mean of the last ``days`` days that had any.
+
+    Days are counted back from ``as_of``. Null without revenue in the last day.
+    """
+    age = F.unix_micros(instant(as_of)) - F.unix_micros("window_start")
+    day = F.floor(age / F.lit(micros(DAY)))
+    per_day = (
+        revenue.filter((age >= 0) & (age < days * micros(DAY)))
+        .groupBy(day.alias("days_ago"))
+        .agg(money_sum("total_revenue").alias("day_revenue"))
+    )
+    last_day = F.max(F.when(F.col("days_ago") == 0, F.col("day_revenue")))
+    mean = F.try_divide(money_sum("day_revenue"), F.count("day_revenue"))
+    return per_day.agg(F.try_divide(last_day, mean).alias("revenue_vs_average"))
+
+
 def latest_revenue(revenue: DataFrame) -> DataFrame:
     """Revenue of the newest window; no row if there is no window yet."""
     newest = revenue.agg(
@@ -128,3 +146,65 @@ def status_breakdown(ops: DataFrame, as_of: Instant, span: str = HOUR) -> DataFr
 def critical_count(ops: DataFrame, as_of: Instant, span: str = HOUR) -> DataFrame:
     recent = ops.filter((F.col("status") == "CRITICAL") & within_last("window_start", as_of, span))
     return recent.agg(F.count("*").alias("critical_count"))
+
+
+def snapshot(
+    revenue: DataFrame,
+    alerts: DataFrame,
+    velocity: DataFrame,
+    abandoned: DataFrame,
+    ops: DataFrame,
+    as_of: Instant,
+    n: int = 10,
+) -> DataFrame:
+    """All KPIs as of an instant in one table (kpi, label, value), ready to publish or to alert on.
+
+    ``label`` tells apart the values of one KPI: a severity, a type, a status or a product.
+    """
+
+    def values(df: DataFrame, label_column: str | None, **columns: str) -> DataFrame:
+        shown = F.col(label_column) if label_column else F.lit(None)
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(kpi).alias("kpi"),
+                    shown.cast("string").alias("label"),
+                    F.col(column).cast("double").alias("value"),
+                )
+                for kpi, column in columns.items()
+            ]
+        )
+        return df.select(F.explode(rows).alias("row")).select("row.*")
+
+    parts = [
+        values(
+            revenue_24h(revenue, as_of),
+            None,
+            revenue_total_24h="total_revenue",
+            order_count_24h="order_count",
+            avg_order_value="mean_of_window_means",
+        ),
+        values(latest_revenue(revenue), None, revenue_per_minute="revenue_per_minute"),
+        values(revenue_vs_average(revenue, as_of), None, revenue_vs_average="revenue_vs_average"),
+        values(fraud_by_severity(alerts, as_of), "severity", fraud_alerts="count"),
+        values(fraud_by_type(alerts, as_of), "alert_type", fraud_by_type="count"),
+        values(fraud_rate_per_hour(alerts, as_of), None, fraud_alerts_per_hour="alerts_per_hour"),
+        values(units_sold_24h(velocity, as_of), None, units_sold_24h="units_sold"),
+        values(
+            top_products(velocity, as_of, n),
+            "product_id",
+            top_product_units="units",
+            top_product_revenue="revenue",
+        ),
+        values(
+            abandoned_24h(abandoned, as_of),
+            None,
+            cart_abandoned_24h="abandoned",
+            cart_abandonment_rate="abandonment_rate",
+            cart_recovery_rate="recovery_rate",
+        ),
+        values(health_pct(ops, as_of), None, system_health_pct="health_pct"),
+        values(status_breakdown(ops, as_of), "status", system_status="count"),
+        values(critical_count(ops, as_of), None, critical_alerts="critical_count"),
+    ]
+    return stacked(parts)

@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from tradewind.functions.timing import Instant, instant
 from tradewind.operators.hot import HOT_ABOVE, split_hot
+from tradewind.operators.joins import distinct_keys
 from tradewind.operators.slices import running_sum, sliced_sum
+from tradewind.session import stored
 
 # ---- fixed values ---------------------------------------------------------------------------
 RESERVED, RELEASED, REFILLED = "reserved", "released", "refilled"
@@ -134,7 +136,7 @@ def _reserve_by_ranges(
     leaves less than ``half``. So one running sum finds where a product leaves that range. A
     product passes each range once, and the ranges halve: the number of passes is the number of
     binary digits of the largest stock, whatever the number of requests. What a pass finds, one
-    row per product, is checkpointed.
+    row per product, is stored.
     """
     position = F.struct("event_timestamp", *ties)
     quantity = F.col("quantity")
@@ -143,16 +145,18 @@ def _reserve_by_ranges(
     # Ranges a product has passed: the size below which requests were granted, from where to where.
     position_type = asked.select(position.alias("p")).schema["p"].dataType.simpleString()
     passed_type = f"array<struct<half:bigint,since:{position_type},until:{position_type}>>"
-    wanted = products.join(requests.select("product_id"), "product_id", "left_semi")
-    state = wanted.select(
-        "product_id",
-        F.col("stock").cast("bigint").alias("left"),
-        F.lit(None).cast(position_type).alias("since"),
-        F.array().cast(passed_type).alias("passed"),
-    ).checkpoint()
+    wanted = products.join(distinct_keys(requests, ["product_id"]), "product_id", "left_semi")
+    state = stored(
+        wanted.select(
+            "product_id",
+            F.col("stock").cast("bigint").alias("left"),
+            F.lit(None).cast(position_type).alias("since"),
+            F.array().cast(passed_type).alias("passed"),
+        )
+    )
     most = state.agg(F.max("left")).first()[0] or 0
     for digit in reversed(range(int(most).bit_length())):
-        state = _pass_range(state, asked, position, list(ties), F.lit(1 << digit), width).checkpoint()
+        state = stored(_pass_range(state, asked, position, list(ties), F.lit(1 << digit), width))
 
     decided = requests.join(state.select("product_id", "passed"), "product_id", "left")
     accepted = F.exists("passed", lambda one: _granted(one, position, quantity))

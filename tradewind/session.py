@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to apply to a session somebody else created.
 RUNTIME_SETTINGS = {
@@ -55,3 +56,14 @@ def durable_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir().rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written to the shared folder and read back.
+
+    Later steps start from the files, so their plans stay short and a lost executor costs no
+    recomputation. ``DataFrame.checkpoint`` would compute ``df`` twice.
+    """
+    path = f"{durable_folder(df.sparkSession)}/tables/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
