@@ -21,6 +21,9 @@ LOW_STOCK = 10
 REFILL_BELOW, REFILL_QUANTITY = 20, 50
 # ---------------------------------------------------------------------------------------------
 
+# Folding costs about a microsecond per request, so a task can take this many of one product.
+FOLD_AT_MOST = 50_000_000
+
 
 def stock_ledger(
     products: DataFrame,
@@ -66,7 +69,7 @@ def reserve_greedy(
     requests: DataFrame,
     ties: tuple[str, ...] = ("order_id",),
     width: str = "1 hour",
-    hot_above: int = HOT_ABOVE,
+    hot_above: int = FOLD_AT_MOST,
 ) -> DataFrame:
     """Decide each reservation in order: grant it if the stock left covers it, else skip it.
 
