@@ -197,6 +197,11 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     assert rows(read_current(spark, path, ["k"])) == [("a", 3), ("b", 1)]
 
 
+def test_a_small_batch_is_one_file(spark, tmp_path):
+    write_batch(spark.range(100).repartition(20), str(tmp_path / "out"), 0)
+    assert len(list((tmp_path / "out" / "batch_id=0").glob("part-*"))) == 1
+
+
 def test_empty_batches_write_nothing(spark, topic, tmp_path):
     topic.send(topic.payment(NOON))
     run(revenue(stream_files(spark, topic.path)), tmp_path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.timing import micros, slice_of
@@ -12,13 +12,32 @@ from tradewind.functions.timing import micros, slice_of
 EVENT_KEY = ["event_type", "event_id"]
 
 
-def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The right side of a semi or anti join, each key once.
+def _always_zero(*keys: str) -> Column:
+    """A join key that is equal for equal keys and always zero.
 
-    Repeats collapse inside each task, before the shuffle the join needs anyway, so a key that
-    is repeated very often on this side reaches the join as one row.
+    AQE splits a hot join partition only if both sides come straight from a shuffle. A side that
+    was aggregated by the join keys would be joined where it is. One key more makes Spark
+    shuffle it once more, after it has been reduced, and AQE can split the other side.
     """
-    return df.select(*keys).distinct()
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
+def _matching(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    # Repeated keys of the right side collapse inside each task, before any shuffle.
+    names = [f"_right_{key}" for key in keys]
+    listed = right.select(*keys).distinct().toDF(*names)
+    same = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
+    return left.join(listed, [*same, _always_zero(*keys) == _always_zero(*names)], how)
+
+
+def having(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right``. Either side may have hot keys."""
+    return _matching(left, right, keys, "left_semi")
+
+
+def lacking(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` whose key does not occur in ``right``. Either side may have hot keys."""
+    return _matching(left, right, keys, "left_anti")
 
 
 def unmatched_within(
@@ -51,11 +70,13 @@ def unmatched_within(
     )
     limit = F.col(left_ts) + F.expr(f"INTERVAL {within}")
     matched = (F.col("_own") >= F.col(left_ts)) | (F.col("_next") <= limit)
-    joined = left.join(
-        bounds,
-        (F.col(key) == F.col("_key")) & (slice_of(left_ts, within) == F.col("_slice")),
-        "left",
-    )
+    own_slice = slice_of(left_ts, within)
+    same = [
+        F.col(key) == F.col("_key"),
+        own_slice == F.col("_slice"),
+        _always_zero(key) == _always_zero("_key"),
+    ]
+    joined = left.join(bounds, same, "left")
     return joined.filter(~F.coalesce(matched, F.lit(False))).select(*left.columns)
 
 
@@ -85,7 +106,7 @@ def contained_in(
             )
         ).alias("_text")
     )
-    return pieces.join(wanted.distinct(), "_text", "left_semi").distinct().toDF(needle)
+    return having(pieces, wanted, ["_text"]).distinct().toDF(needle)
 
 
 def zero_filled(counts: DataFrame, key: str, count: str, expected: list[str]) -> DataFrame:
@@ -112,4 +133,4 @@ def not_yet_processed(events: DataFrame, history: DataFrame) -> DataFrame:
 
     The id alone is no key: one id travels through several event types of the same order.
     """
-    return events.join(distinct_keys(history, EVENT_KEY), EVENT_KEY, "left_anti")
+    return lacking(events, history, EVENT_KEY)

@@ -8,13 +8,20 @@ from pyspark.sql import types as T
 
 from tradewind.functions.scalars import label, parse_time, preview, service_of
 from tradewind.functions.timing import Instant, within_last
-from tradewind.operators.joins import distinct_keys, zero_filled
+from tradewind.operators.joins import lacking, zero_filled
 from tradewind.operators.ranking import highest
 
 # ---- fixed values ---------------------------------------------------------------------------
 SERVICES = ["cart", "order", "payment", "inventory", "notification"]
 REPLAY_THRESHOLD = 50
 MAX_RETRIES = 3
+NOT_PARSED, NOT_VALID = "JSONDecodeError", "ValidationError"
+UNDER_THRESHOLD = "DLQ count under threshold"
+OVER_THRESHOLD = "DLQ count over threshold"
+UNHEALTHY = "System health check failed"
+# Up to how many messages each band reaches; more than the last is critical.
+BANDS = ((0, "HEALTHY"), (5, "MINOR"), (50, "MODERATE"))
+TOP_BAND = "CRITICAL"
 # ---------------------------------------------------------------------------------------------
 
 _CORRUPT = "_corrupt"
@@ -54,8 +61,8 @@ def split_valid(raw: DataFrame, schema: T.StructType, event_type: str | None = N
         .when(bad_time, F.lit("timestamp is not a time"))
     )
     kind = (
-        F.when(unreadable, F.lit("JSONDecodeError"))
-        .when(F.col("error_reason").isNotNull(), F.lit("ValidationError"))
+        F.when(unreadable, F.lit(NOT_PARSED))
+        .when(F.col("error_reason").isNotNull(), F.lit(NOT_VALID))
     )
     judged = parsed.withColumn("error_reason", reason).withColumn("error_type", kind)
     valid = judged.filter("error_reason is null").select(
@@ -125,13 +132,9 @@ def dlq_top_errors(dlq: DataFrame, as_of: Instant, n: int = 10, span: str = "1 h
 
 def dlq_band(counts: DataFrame, count: str = "messages") -> DataFrame:
     """How serious a count of dead letters is."""
-    messages = F.col(count)
-    band = (
-        F.when(messages == 0, "HEALTHY")
-        .when(messages <= 5, "MINOR")
-        .when(messages <= 50, "MODERATE")
-        .otherwise("CRITICAL")
-    )
+    band = F.lit(TOP_BAND)
+    for limit, name in reversed(BANDS):
+        band = F.when(F.col(count) <= limit, name).otherwise(band)
     return counts.withColumn("band", band)
 
 
@@ -143,8 +146,7 @@ def replay(dlq: DataFrame, ids: list[str] | None = None, done: DataFrame | None
     """
     chosen = dlq if ids is None else dlq.filter(F.col("event_id").isin(ids))
     if done is not None:
-        keys = ["event_id", "original_topic"]
-        chosen = chosen.join(distinct_keys(done, keys), keys, "left_anti")
+        chosen = lacking(chosen, done, ["event_id", "original_topic"])
     return chosen.select(
         F.col("original_topic").alias("topic"),
         F.col("event_id").alias("key"),
@@ -157,9 +159,7 @@ def replay_due(dlq: DataFrame, threshold: int = REPLAY_THRESHOLD, healthy: bool
     over = F.col("messages") > threshold
     action = F.when(over & F.lit(healthy), "REPLAY").otherwise("NONE")
     reason = (
-        F.when(~over, "DLQ count under threshold")
-        .when(~F.lit(healthy), "System health check failed")
-        .otherwise("DLQ count over threshold")
+        F.when(~over, UNDER_THRESHOLD).when(~F.lit(healthy), UNHEALTHY).otherwise(OVER_THRESHOLD)
     )
     return dlq.agg(F.count("*").alias("messages")).select(
         "messages", F.lit(threshold).alias("threshold"), action.alias("action"), reason.alias("reason")

@@ -12,11 +12,24 @@ from pyspark.sql import functions as F
 from tradewind.functions.money import money_avg, money_sum
 from tradewind.functions.scalars import seconds_since, whole_hours_since
 from tradewind.functions.timing import Instant
-from tradewind.operators.joins import contained_in, distinct_keys
+from tradewind.operators.joins import contained_in, lacking
 from tradewind.operators.ranking import highest, newest, share_of_total
 from tradewind.operators.reports import labelled_counts, stacked, total_and_breakdown
 
 
+# ---- fixed values: status names, and labels of the (metric, count) reports --------------------
+FULFILLED, SUCCESS, FAILED = "FULFILLED", "SUCCESS", "FAILED"
+EVENTS_TOTAL, EVENTS_EACH = "Total processed events", "Events - "
+ORDERS_TOTAL, ORDERS_EACH = "Total orders", "Orders - "
+PAYMENTS_TOTAL, PAYMENTS_EACH = "Total payments", "Payments - "
+FULFILLED_ORDERS = "FULFILLED orders"
+SUCCESSFUL_PAYMENTS, ALL_PAYMENTS = "Successful payments", "All payments"
+FULFILMENTS_PROCESSED = "order.fulfilled events processed"
+PAYMENTS_PROCESSED = "payment.processed events processed"
+ACTUAL_FULFILLED, ACTUAL_SUCCESS = "Actual FULFILLED orders", "Actual SUCCESS payments"
+# ---------------------------------------------------------------------------------------------
+
+
 def _counted(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
 
@@ -85,7 +98,7 @@ def recent_payments(payments: DataFrame, n: int = 20) -> DataFrame:
 
 
 def failed_payments(payments: DataFrame, n: int = 20) -> DataFrame:
-    return recent_payments(payments.filter(F.col("status") == "FAILED"), n)
+    return recent_payments(payments.filter(F.col("status") == FAILED), n)
 
 
 def payment_distribution(payments: DataFrame) -> DataFrame:
@@ -275,7 +288,7 @@ def processed_by_type(processed: DataFrame) -> DataFrame:
 
 
 def event_report(processed: DataFrame) -> DataFrame:
-    return total_and_breakdown(processed, "event_type", "Total processed events", "Events - ")
+    return total_and_breakdown(processed, "event_type", EVENTS_TOTAL, EVENTS_EACH)
 
 
 def recent_processed(processed: DataFrame, n: int = 20) -> DataFrame:
@@ -303,22 +316,22 @@ def duplicate_events(processed: DataFrame, by_type: bool = False) -> DataFrame:
 def status_report(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return stacked(
         [
-            total_and_breakdown(orders, "status", "Total orders", "Orders - "),
-            total_and_breakdown(payments, "status", "Total payments", "Payments - "),
+            total_and_breakdown(orders, "status", ORDERS_TOTAL, ORDERS_EACH),
+            total_and_breakdown(payments, "status", PAYMENTS_TOTAL, PAYMENTS_EACH),
         ]
     )
 
 
 def fulfilled_vs_paid(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    paid = {"Successful payments": F.col("status") == "SUCCESS", "All payments": F.lit(True)}
-    fulfilled = {"FULFILLED orders": F.col("status") == "FULFILLED"}
+    paid = {SUCCESSFUL_PAYMENTS: F.col("status") == SUCCESS, ALL_PAYMENTS: F.lit(True)}
+    fulfilled = {FULFILLED_ORDERS: F.col("status") == FULFILLED}
     return stacked([labelled_counts(orders, **fulfilled), labelled_counts(payments, **paid)])
 
 
 def fulfilled_without_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Fulfilled orders nobody paid for, newest first."""
-    fulfilled = orders.filter(F.col("status") == "FULFILLED")
-    unpaid = fulfilled.join(distinct_keys(payments, ["order_id"]), "order_id", "left_anti")
+    fulfilled = orders.filter(F.col("status") == FULFILLED)
+    unpaid = lacking(fulfilled, payments, ["order_id"])
     return unpaid.select(
         "order_id", "user_id", "total_amount", "created_at", F.lit(None).cast("string").alias("payment_id")
     ).orderBy(F.col("created_at").desc(), "order_id")
@@ -327,8 +340,8 @@ def fulfilled_without_payment(orders: DataFrame, payments: DataFrame) -> DataFra
 def paid_without_fulfilment(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Successful payments whose order is missing or not fulfilled, newest first."""
     known = orders.select("order_id", F.col("status").alias("order_status"), F.lit(True).alias("known"))
-    joined = payments.filter(F.col("status") == "SUCCESS").join(known, "order_id", "left")
-    unfulfilled = F.col("known").isNull() | (F.col("order_status") != "FULFILLED")
+    joined = payments.filter(F.col("status") == SUCCESS).join(known, "order_id", "left")
+    unfulfilled = F.col("known").isNull() | (F.col("order_status") != FULFILLED)
     return (
         joined.filter(unfulfilled)
         .select("payment_id", "order_id", "status", "created_at", "order_status")
@@ -340,14 +353,14 @@ def fulfilment_event_report(
     processed: DataFrame, orders: DataFrame, payments: DataFrame
 ) -> DataFrame:
     events = {
-        "order.fulfilled events processed": F.col("event_type") == "order.fulfilled",
-        "payment.processed events processed": F.col("event_type") == "payment.processed",
+        FULFILMENTS_PROCESSED: F.col("event_type") == "order.fulfilled",
+        PAYMENTS_PROCESSED: F.col("event_type") == "payment.processed",
     }
     return stacked(
         [
             labelled_counts(processed, **events),
-            labelled_counts(orders, **{"Actual FULFILLED orders": F.col("status") == "FULFILLED"}),
-            labelled_counts(payments, **{"Actual SUCCESS payments": F.col("status") == "SUCCESS"}),
+            labelled_counts(orders, **{ACTUAL_FULFILLED: F.col("status") == FULFILLED}),
+            labelled_counts(payments, **{ACTUAL_SUCCESS: F.col("status") == SUCCESS}),
         ]
     )
 

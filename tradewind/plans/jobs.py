@@ -18,6 +18,14 @@ from tradewind.schemas import ITEM_ARRAY, JOURNEY_TOPICS
 
 EVENT_TIME = "event_timestamp"
 
+# ---- fixed values: names the result tables hold ---------------------------------------------
+MANY_ORDERS, HIGH_AMOUNT = "UNUSUAL_ORDER_FREQUENCY", "HIGH_ORDER_VALUE"
+MANY_PAYMENTS = "MULTIPLE_PAYMENT_EVENTS"
+CRITICAL, HIGH, MEDIUM = "CRITICAL", "HIGH", "MEDIUM"
+HEALTHY, WARNING = "HEALTHY", "WARNING"
+THROUGHPUT = "throughput"
+# ---------------------------------------------------------------------------------------------
+
 
 def revenue_by_window(
     payments: DataFrame, window: str = "1 minute", watermark: str = "10 seconds"
@@ -91,12 +99,12 @@ def fraud_alerts(
     )
     # The first rule that holds names the alert.
     alert_type = (
-        F.when(too_many_orders, "UNUSUAL_ORDER_FREQUENCY")
-        .when(too_much, "HIGH_ORDER_VALUE")
-        .when(too_many_payments, "MULTIPLE_PAYMENT_EVENTS")
+        F.when(too_many_orders, MANY_ORDERS)
+        .when(too_much, HIGH_AMOUNT)
+        .when(too_many_payments, MANY_PAYMENTS)
     )
     severity = (
-        F.when(critical, "CRITICAL").when(too_many_orders | too_much, "HIGH").otherwise("MEDIUM")
+        F.when(critical, CRITICAL).when(too_many_orders | too_much, HIGH).otherwise(MEDIUM)
     )
     details = json_of(
         order_frequency=orders_seen,
@@ -198,15 +206,15 @@ def topic_throughput_health(
         .agg(F.count("*").alias("events"))
     )
     status = (
-        F.when(F.col("events") > healthy_above, "HEALTHY")
-        .when(F.col("events") > warning_above, "WARNING")
-        .otherwise("CRITICAL")
+        F.when(F.col("events") > healthy_above, HEALTHY)
+        .when(F.col("events") > warning_above, WARNING)
+        .otherwise(CRITICAL)
     )
     return counted.select(
         F.col("span.start").alias("window_start"),
         F.col("span.end").alias("window_end"),
         "topic",
-        F.lit("throughput").alias("metric_name"),
+        F.lit(THROUGHPUT).alias("metric_name"),
         F.col("events").alias("metric_value"),
         F.lit(threshold).alias("threshold"),
         status.alias("status"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import derived_id, iso_text, tracking_number
 from tradewind.functions.timing import Instant, instant, interval, seconds_between
-from tradewind.operators.joins import distinct_keys
+from tradewind.operators.joins import having
 from tradewind.operators.ranking import first_per_key
 from tradewind.operators.slices import previous_row
 
@@ -153,7 +153,7 @@ def first_payment(payments: DataFrame, ties: tuple[str, ...] = ("payment_id",))
 def _reserved_by_cancelled(cancelled: DataFrame, reservations: DataFrame, source: str) -> DataFrame:
     # A semi join, so that an order cancelled twice does not count its stock twice.
     chosen = cancelled.filter(F.col("cancellation_source") == source)
-    return reservations.join(distinct_keys(chosen, ["order_id"]), "order_id", "left_semi")
+    return having(reservations, chosen, ["order_id"])
 
 
 def stock_to_release(cancelled: DataFrame, reservations: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.timing import Instant, instant
 from tradewind.operators.hot import HOT_ABOVE, split_hot
-from tradewind.operators.joins import distinct_keys
+from tradewind.operators.joins import having
 from tradewind.operators.slices import running_sum, sliced_sum
 from tradewind.session import stored
 
@@ -148,7 +148,7 @@ def _reserve_by_ranges(
     # Ranges a product has passed: the size below which requests were granted, from where to where.
     position_type = asked.select(position.alias("p")).schema["p"].dataType.simpleString()
     passed_type = f"array<struct<half:bigint,since:{position_type},until:{position_type}>>"
-    wanted = products.join(distinct_keys(requests, ["product_id"]), "product_id", "left_semi")
+    wanted = having(products, requests, ["product_id"])
     state = stored(
         wanted.select(
             "product_id",

@@ -21,11 +21,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Replace a table. With ``partition_by`` only the partitions present in ``df`` are replaced."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    """Replace a table. With ``partition_by`` only the partitions present in ``df`` are replaced.
+
+    Rows are first brought together by partition, so that not every task writes a file into
+    every partition; AQE splits a partition that is too large for one file.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    gathered = df.hint("rebalance", *partition_by)
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -50,8 +56,11 @@ def write_jdbc(df: DataFrame, connection: dict[str, str], table: str, mode: str,
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store one micro-batch; storing the same batch again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    """Store one micro-batch; storing the same batch again replaces it.
+
+    Rebalancing merges the batch's many small state partitions into files of a sensible size.
+    """
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
