@@ -168,7 +168,7 @@ def q13(t: Inputs):
 @query(
     "q14_top_sellers",
     """
-    SELECT product_id, SUM(units_sold) AS total_units, COUNT(*) AS time_windows,
+    SELECT product_id, CAST(SUM(units_sold) AS BIGINT) AS total_units, COUNT(*) AS time_windows,
            SUM(units_sold)::DOUBLE / COUNT(*) AS avg_units_per_window
     FROM velocity GROUP BY product_id ORDER BY total_units DESC, product_id LIMIT 20""",
 )
@@ -229,7 +229,7 @@ def q20(t: Inputs):
 @query(
     "q21_reservation_stats",
     """
-    SELECT product_id, COUNT(*) AS total_reservations, SUM(quantity) AS total_reserved,
+    SELECT product_id, COUNT(*) AS total_reservations, CAST(SUM(quantity) AS BIGINT) AS total_reserved,
            SUM(quantity)::DOUBLE / COUNT(*) AS avg_reserved
     FROM reservations GROUP BY product_id""",
 )
@@ -240,7 +240,7 @@ def q21(t: Inputs):
 @query(
     "q21_pending_reservations",
     """
-    SELECT product_id, COUNT(*) AS count, SUM(quantity) AS total_quantity
+    SELECT product_id, COUNT(*) AS count, CAST(SUM(quantity) AS BIGINT) AS total_quantity
     FROM reservations GROUP BY product_id""",
 )
 def q21_pending(t: Inputs):

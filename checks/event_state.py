@@ -99,9 +99,9 @@ CARTS = f"""
       FROM kept WHERE kind = 'set' GROUP BY 1, 2
     ), carts AS (
       SELECT k.user_id, k.product_id,
-             COALESCE(MAX(s.set_quantity), 0)
+             CAST(COALESCE(MAX(s.set_quantity), 0)
                + SUM(CASE WHEN s.set_ts IS NULL OR k.ts > s.set_ts THEN k.quantity ELSE 0 END)
-               AS quantity,
+               AS BIGINT) AS quantity,
              arg_min(k.price, k.ts) AS price, MAX(k.last_update) AS last_update
       FROM kept k LEFT JOIN sets s ON k.user_id = s.user_id AND k.product_id = s.product_id
       WHERE k.kind = 'add' GROUP BY 1, 2
@@ -215,7 +215,7 @@ def greedy_hot(t: Inputs):
 @query(
     "r10_stock_to_release",
     """
-    SELECT r.product_id, SUM(r.quantity) AS quantity
+    SELECT r.product_id, CAST(SUM(r.quantity) AS BIGINT) AS quantity
     FROM reservations r JOIN cancelled c ON r.order_id = c.order_id
     WHERE c.cancellation_source = 'payment_failed' GROUP BY r.product_id""",
 )
@@ -226,7 +226,7 @@ def release(t: Inputs):
 @query(
     "r11_leaked_reservations",
     """
-    SELECT r.order_id, r.product_id, SUM(r.quantity) AS quantity
+    SELECT r.order_id, r.product_id, CAST(SUM(r.quantity) AS BIGINT) AS quantity
     FROM reservations r JOIN cancelled c ON r.order_id = c.order_id
     WHERE c.cancellation_source = 'inventory_depleted' GROUP BY 1, 2""",
 )
@@ -296,7 +296,7 @@ def refill(t: Inputs):
 @query(
     "r16_refill_summary",
     """
-    SELECT COUNT(*) AS total_refills, COALESCE(SUM(50), 0) AS total_units_added,
+    SELECT COUNT(*) AS total_refills, CAST(COALESCE(SUM(50), 0) AS BIGINT) AS total_units_added,
            COUNT(DISTINCT product_id) AS products_refilled
     FROM products WHERE stock < 20""",
 )

@@ -110,7 +110,7 @@ def abandonment_12h(t: Inputs):
       FROM (
         SELECT date_trunc('month', o.created_at) AS window_start,
                date_trunc('month', o.created_at) + INTERVAL 1 MONTH AS window_end,
-               l.product_id, SUM(l.quantity) AS units_sold, {money("l.amount")} AS revenue
+               l.product_id, CAST(SUM(l.quantity) AS BIGINT) AS units_sold, {money("l.amount")} AS revenue
         FROM shop_orders o JOIN lines l ON o.order_id = l.order_id
         WHERE o.status = 'FULFILLED' GROUP BY 1, 2, 3
       ) sold
@@ -130,7 +130,7 @@ def velocity_by_month(t: Inputs):
       FROM (
         SELECT date_trunc('hour', o.created_at) AS window_start,
                date_trunc('hour', o.created_at) + INTERVAL 1 HOUR AS window_end,
-               l.product_id, SUM(l.quantity) AS units_sold, {money("l.amount")} AS revenue
+               l.product_id, CAST(SUM(l.quantity) AS BIGINT) AS units_sold, {money("l.amount")} AS revenue
         FROM shop_orders o JOIN lines l ON o.order_id = l.order_id
         WHERE o.status = 'FULFILLED' GROUP BY 1, 2, 3
       ) sold

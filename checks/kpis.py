@@ -14,7 +14,7 @@ HOUR_AGO = f"TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR"
     "k1_revenue_24h",
     f"""
     SELECT COALESCE({money("total_revenue")}, 0) AS total_revenue,
-           COALESCE(SUM(order_count), 0) AS order_count,
+           CAST(COALESCE(SUM(order_count), 0) AS BIGINT) AS order_count,
            ROUND(COALESCE(AVG(avg_order_value), 0), 6) AS mean_of_window_means
     FROM revenue WHERE window_start > {DAY_AGO}""",
 )
@@ -66,7 +66,7 @@ ORDERS_DAY_AGO = f"TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 24 HOURS"
 
 @query(
     "k6_units_sold_24h",
-    f"SELECT COALESCE(SUM(units_sold), 0) AS units_sold FROM velocity WHERE window_start > {ORDERS_DAY_AGO}",
+    f"SELECT CAST(COALESCE(SUM(units_sold), 0) AS BIGINT) AS units_sold FROM velocity WHERE window_start > {ORDERS_DAY_AGO}",
 )
 def units(t: Inputs):
     return kpis.units_sold_24h(t.velocity, ORDERS_AS_OF)
@@ -74,7 +74,7 @@ def units(t: Inputs):
 
 def _top_sql(span: str) -> str:
     return f"""
-        SELECT product_id, SUM(units_sold) AS units, {money("revenue")} AS revenue,
+        SELECT product_id, CAST(SUM(units_sold) AS BIGINT) AS units, {money("revenue")} AS revenue,
                ROW_NUMBER() OVER (ORDER BY SUM(units_sold) DESC, product_id) AS rank
         FROM velocity WHERE window_start > TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL {span}
         GROUP BY product_id ORDER BY units DESC, product_id LIMIT 10"""
@@ -94,8 +94,8 @@ def top_year(t: Inputs):
     "k8_abandoned_24h",
     f"""
     SELECT COUNT(*) AS abandoned,
-           CASE WHEN COUNT(*) > 0 THEN 100.0 ELSE 0.0 END AS abandonment_rate,
-           0.0 AS recovery_rate
+           CASE WHEN COUNT(*) > 0 THEN 100.0 ELSE 0.0 END::DOUBLE AS abandonment_rate,
+           0.0::DOUBLE AS recovery_rate
     FROM abandoned WHERE detected_at > {DAY_AGO}""",
 )
 def abandoned(t: Inputs):
@@ -155,7 +155,7 @@ def critical(t: Inputs):
       UNION ALL SELECT 'cart_abandonment_rate', abandonment_rate FROM ({CART_RATES}) r
       UNION ALL SELECT 'dlq_messages', COUNT(*) FROM dead_letters
     )
-    SELECT alert, r.kpi, CAST(value AS DOUBLE) AS value, "limit", severity,
+    SELECT alert, r.kpi, CAST(value AS DOUBLE) AS value, CAST("limit" AS DOUBLE) AS "limit", severity,
            COALESCE(CASE WHEN above THEN value > "limit" ELSE value < "limit" END, FALSE) AS firing
     FROM (VALUES ('high_fraud_rate', 'fraud_alerts_per_hour', TRUE, 10.0, 'WARNING'),
                  ('high_cart_abandonment', 'cart_abandonment_rate', TRUE, 60.0, 'WARNING'),

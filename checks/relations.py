@@ -104,9 +104,9 @@ RELATIONS = {
         FROM lines WHERE returnflag = 'R'""",
     "ledger": """
         SELECT m.product_id, m.move_id, m.amount, m.kind, m.quantity, m.ts,
-               p.stock + SUM(CASE m.kind WHEN 'reserved' THEN -m.quantity ELSE m.quantity END)
+               CAST(p.stock + SUM(CASE m.kind WHEN 'reserved' THEN -m.quantity ELSE m.quantity END)
                  OVER (PARTITION BY m.product_id ORDER BY m.ts, m.move_id, m.kind, m.amount
-                       ROWS UNBOUNDED PRECEDING) AS balance
+                       ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance
         FROM moves m JOIN products p ON m.product_id = p.product_id""",
     "revenue": f"""
         SELECT date_trunc('hour', ts) AS window_start,
@@ -116,7 +116,7 @@ RELATIONS = {
         FROM payments_made GROUP BY 1, 2""",
     "user_windows": """
         SELECT user_id, w AS window_start, COUNT(*) FILTER (WHERE source = 'order') AS orders_seen,
-               MAX(amount) AS largest, SUM(CASE WHEN source = 'payment' THEN 1 END) AS payments_seen
+               MAX(amount) AS largest, CAST(SUM(CASE WHEN source = 'payment' THEN 1 END) AS BIGINT) AS payments_seen
         FROM (
           SELECT user_id, amount, source,
                  time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - to_hours(6 * back) AS w
@@ -149,7 +149,7 @@ RELATIONS = {
                       AS velocity_rank
           FROM (
             SELECT o.created_at AS window_start, o.created_at + INTERVAL 1 DAY AS window_end,
-                   l.product_id, SUM(l.quantity) AS units_sold, {money("l.amount")} AS revenue
+                   l.product_id, CAST(SUM(l.quantity) AS BIGINT) AS units_sold, {money("l.amount")} AS revenue
             FROM shop_orders o JOIN lines l ON o.order_id = l.order_id
             WHERE o.status = 'FULFILLED' GROUP BY 1, 2, 3
           ) sold
