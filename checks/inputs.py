@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from tradewind.plans import jobs
 
 AS_OF = "2024-01-30 20:00:00"
+# The alerts thin out towards the end of the data; this instant has some of each kind before it.
+ALERTS_AS_OF = "2024-01-29 00:00:00"
 ORDERS_AS_OF = "2001-07-31 12:00:00"
 
 

@@ -1,12 +1,13 @@
 """The KPIs over the result tables."""
 
-from checks.inputs import AS_OF, ORDERS_AS_OF, Inputs
+from checks.inputs import ALERTS_AS_OF, AS_OF, ORDERS_AS_OF, Inputs
 from checks.registry import query
 from checks.relations import money
 from pyspark.sql import functions as F
 from tradewind.plans import alerting, dead_letters, kpis
 
 DAY_AGO = f"TIMESTAMP '{AS_OF}' - INTERVAL 24 HOURS"
+ALERTS_DAY_AGO = f"TIMESTAMP '{ALERTS_AS_OF}' - INTERVAL 24 HOURS"
 HOUR_AGO = f"TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR"
 
 
@@ -37,28 +38,28 @@ def latest(t: Inputs):
     "k3_fraud_by_severity",
     f"""
     SELECT COALESCE(upper(severity), 'UNKNOWN') AS severity, COUNT(*) AS count
-    FROM alerts WHERE alert_timestamp > {DAY_AGO} GROUP BY 1""",
+    FROM alerts WHERE alert_timestamp > {ALERTS_DAY_AGO} GROUP BY 1""",
 )
 def by_severity(t: Inputs):
-    return kpis.fraud_by_severity(t.alerts, AS_OF)
+    return kpis.fraud_by_severity(t.alerts, ALERTS_AS_OF)
 
 
 @query(
     "k4_fraud_by_type",
     f"""
     SELECT COALESCE(alert_type, 'unknown') AS alert_type, COUNT(*) AS count
-    FROM alerts WHERE alert_timestamp > {DAY_AGO} GROUP BY 1""",
+    FROM alerts WHERE alert_timestamp > {ALERTS_DAY_AGO} GROUP BY 1""",
 )
 def by_type(t: Inputs):
-    return kpis.fraud_by_type(t.alerts, AS_OF)
+    return kpis.fraud_by_type(t.alerts, ALERTS_AS_OF)
 
 
 @query(
     "k5_fraud_rate_per_hour",
-    f"SELECT COUNT(*) / 24.0 AS alerts_per_hour FROM alerts WHERE alert_timestamp > {DAY_AGO}",
+    f"SELECT COUNT(*) / 24.0 AS alerts_per_hour FROM alerts WHERE alert_timestamp > {ALERTS_DAY_AGO}",
 )
 def fraud_rate(t: Inputs):
-    return kpis.fraud_rate_per_hour(t.alerts, AS_OF)
+    return kpis.fraud_rate_per_hour(t.alerts, ALERTS_AS_OF)
 
 
 ORDERS_DAY_AGO = f"TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 24 HOURS"
