@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import catalog
 from checks.__main__ import TABLES, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def sql():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_matches_sql(spark, sql, name):
     df = entry.queries()[name](spark, SF_DIR)
     relation = sql.sql(entry.oracle_sql()[name])
@@ -28,7 +29,7 @@ def test_query_matches_sql(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.SQL) == set(catalog.QUERIES)
 
 
 def test_entry(spark):
