@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import exact, mixing, near, packing, quality, sharding, url_rules
+from tradewind.llm import exact, mixing, near, packing, quality, sharding, suffixes, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,3 +75,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.document_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffixes.repeated_strings(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
