@@ -102,6 +102,15 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def dealt(sent: DataFrame, buckets: int) -> DataFrame:
+    """``sent`` by bucket, in as many partitions as there are buckets or the session shuffles to.
+
+    The number is given, as small partitions should not be merged here: what they cost is work, not bytes.
+    """
+    usual = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent.repartition(min(buckets, max(usual, 200)), "bucket")
+
+
 def answered(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     """``chunks`` with a column ``answers``: the (bucket, answer) pairs of each, at most one per bucket."""
     gathered = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))

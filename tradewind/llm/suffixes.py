@@ -5,7 +5,7 @@ bytes holds an anchor, the 16-byte string with the smallest hash in it, and equa
 anchors. So windows can be compared anchor by anchor, wherever they are:
 
 1. Chunks send the hashes of their distinct anchors; what occurs in one document only is left alone.
-2. For the others they send the anchor's surroundings (all windows that hold it) once per chunk, with
+2. For the others they send the anchor's surroundings (the windows it is the anchor of) once per chunk, with
    the smallest document id there. In a bucket, surroundings of an anchor that are all alike belong
    to the smallest id; those that differ go into one string, whose suffix array brings equal windows
    together, and the smallest id of each run of equal windows counts.
@@ -33,14 +33,16 @@ LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM  # bytes on either side of an anchor that its windows reach
 AROUND = REACH + LENGTH
+BLOCK = 12  # bytes that are one symbol of the sorted text
 OUTSIDE = 0xFF  # never a byte of UTF-8
 #: Bytes that one suffix array is built over, at least one anchor's; more would only need more memory.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
 
 _LOW48 = np.uint64(2**48 - 1)
 _TOP = np.uint64(0xFFFFFFFF00000000)
 _BOTTOM = np.uint64(0xFFFFFFFF)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
+_PIECE = 1 << 16
 
 
 def suffix_array(symbols: list[int]) -> list[int]:
@@ -121,44 +123,61 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return out[1:]
 
 
-def _load(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from every position on, as one number."""
-    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
-    return np.ndarray((len(data),), dtype="<u8", buffer=padded, strides=(1,)).copy()
-
+def _grams(data: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes from every position on."""
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    n = len(data) - GRAM + 1
+    out = eight[:n] * _SALT
+    out += eight[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out
 
-def anchors(chunk: C.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window of ``LENGTH`` bytes inside a text: where it starts, its anchor; and all gram hashes.
 
-    The anchor has the smallest 32 top bits, the leftmost of equal ones.
-    """
-    data = chunk.data
-    if len(data) < LENGTH:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-    eight = _load(data)
-    grams = mix(mix(eight[: len(data) - GRAM + 1] + _SALT) + eight[8 : 8 + len(data) - GRAM + 1])
-    keys = (grams & _TOP) | np.arange(len(grams), dtype=np.uint64)
+def _anchors_of(data: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each window in ``data``, which begins at ``at`` in its chunk, and the gram hashes."""
+    grams = _grams(data)
+    keys = grams & _TOP
+    keys |= np.arange(at, at + len(grams), dtype=np.uint64)
     span = 1
     while span * 2 <= REACH + 1:
         keys = np.minimum(keys[:-span], keys[span:])
         span *= 2
     rest = REACH + 1 - span
-    keys = np.minimum(keys[: len(keys) - rest], keys[rest:])
+    return np.minimum(keys[: len(keys) - rest], keys[rest:]) & _BOTTOM, grams
+
+
+def anchors(chunk: C.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where each window of ``LENGTH`` bytes inside a text starts, and which anchor it has; the anchors and their hashes.
+
+    The anchor has the smallest 32 top bits, the leftmost of equal ones.
+    """
+    data = chunk.data
+    none = np.empty(0, dtype=np.int64)
+    if len(data) < LENGTH:
+        return none, none, none, none.astype(np.uint64)
+    # In pieces that fit a core's cache.
+    found, hashed = [], []
+    for at in range(0, len(data) - LENGTH + 1, _PIECE):
+        near, grams = _anchors_of(data[at : at + _PIECE + LENGTH - 1], at)
+        found.append(near)
+        hashed.append(grams[:_PIECE] if at + _PIECE < len(data) - LENGTH + 1 else grams)
+    every, grams = np.concatenate(found).astype(np.int64), np.concatenate(hashed)
     sizes = np.diff(chunk.begins) - 1
     counts = np.maximum(sizes - LENGTH + 1, 0)
     starts = np.repeat(chunk.begins[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-    return starts, (keys[starts] & _BOTTOM).astype(np.int64), grams
+    at = every[starts]
+    # Windows are in order of place, and so are their anchors.
+    new = np.concatenate(([True], at[1:] != at[:-1])) if len(at) else np.empty(0, dtype=bool)
+    places = at[new]
+    # Anchors have small hashes; spread them anew.
+    return starts, np.cumsum(new) - 1, places, mix(grams[places] + _SALT)
 
 
 def _owners(chunk: C.Chunk, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(chunk.begins, at, "right") - 1
 
 
-def _anchor_list(at: np.ndarray) -> np.ndarray:
-    """The distinct anchors; windows are in order of place, and so are their anchors within a text."""
-    return at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
-
-
 def _blob_rows(bucket: np.ndarray, buckets: int, make) -> Iterator[tuple[int, bytes]]:
     """(bucket, make(slice)) for each bucket that occurs in the ascending array ``bucket``."""
     bounds = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -202,8 +221,8 @@ def _send_anchors(buckets: int):
         for batch in batches:
             for row in C.rows_of(batch):
                 chunk = C.opened(row)
-                _, at, grams = anchors(chunk)
-                (bucket, low), _ = _short_keys(grams[_anchor_list(at)], buckets)
+                *_, hashes = anchors(chunk)
+                (bucket, low), _ = _short_keys(hashes, buckets)
                 yield _table([(b, chunk.chunk, _six(low[s])) for b, s in _blob_rows(bucket, buckets, lambda s: s)], _SENT_ARROW)
 
     return send
@@ -223,13 +242,11 @@ def _common(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table(rows, _ANSWER_ARROW)])
 
 
-def _surroundings(chunk: C.Chunk, at: np.ndarray) -> np.ndarray:
-    """A row of ``AROUND`` bytes for each anchor; outside its text they are ``OUTSIDE``."""
-    owner = _owners(chunk, at)
-    low, high = chunk.begins[owner], chunk.begins[owner + 1] - 1
-    places = at[:, None] + np.arange(-REACH, LENGTH)[None, :]
-    inside = (places >= low[:, None]) & (places < high[:, None])
-    return np.where(inside, chunk.data[np.clip(places, 0, len(chunk.data) - 1)], np.uint8(OUTSIDE))
+def _surroundings(chunk: C.Chunk, places: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A row of ``AROUND`` bytes round each anchor; those that no window of the anchor has are ``OUTSIDE``."""
+    at = places[:, None] + np.arange(-REACH, LENGTH)[None, :]
+    inside = (at >= begins[:, None]) & (at < ends[:, None])
+    return np.where(inside, chunk.data[np.clip(at, 0, len(chunk.data) - 1)], np.uint8(OUTSIDE))
 
 
 def _row_hash(around: np.ndarray) -> np.ndarray:
@@ -246,12 +263,10 @@ def _row_hash(around: np.ndarray) -> np.ndarray:
 def _kinds(chunk: C.Chunk, answers: dict[int, bytes], first_buckets: int) -> tuple:
     """Windows, anchors, and the kinds of surroundings that other documents may share.
 
-    Returns starts, anchor place of each window, the kind of each distinct anchor (-1: not shared), the
-    distinct anchors, and per kind: gram hash, one anchor, smallest document; kinds are sorted by hash.
+    Returns the start of each window, the number of its anchor, the kind of each anchor (-1: not shared), the
+    places of the anchors, and per kind: hash, one anchor with its reach, smallest document; kinds are sorted by hash.
     """
-    starts, at, grams = anchors(chunk)
-    places = _anchor_list(at)
-    hashes = grams[places]
+    starts, nth, places, hashes = anchors(chunk)
     (bucket, _), rank = _short_keys(hashes, first_buckets)
     owner = _owners(chunk, places)
     shared = np.zeros(bucket.size, dtype=bool)
@@ -267,8 +282,12 @@ def _kinds(chunk: C.Chunk, answers: dict[int, bytes], first_buckets: int) -> tup
     kind = np.full(len(places), -1, dtype=np.int64)
     if not use.any():
         empty = np.empty(0, dtype=np.int64)
-        return starts, at, kind, places, empty.astype(np.uint64), empty, empty
-    told = np.concatenate([_row_hash(_surroundings(chunk, places[use][i : i + 20_000])) for i in range(0, int(use.sum()), 20_000)])
+        return starts, nth, kind, places, empty.astype(np.uint64), np.empty((3, 0), dtype=np.int64), empty
+    # The bytes that an anchor's windows reach, from the first to the last.
+    first = np.flatnonzero(np.concatenate(([True], nth[1:] != nth[:-1])))[use]
+    last = np.flatnonzero(np.concatenate((nth[1:] != nth[:-1], [True])))[use]
+    reach = np.stack((places[use], starts[first], starts[last] + LENGTH))
+    told = np.concatenate([_row_hash(_surroundings(chunk, *reach[:, i : i + 20_000])) for i in range(0, reach.shape[1], 20_000)])
     own = hashes[use]
     order = np.lexsort((told, own))
     new = np.concatenate(([True], (own[order][1:] != own[order][:-1]) | (told[order][1:] != told[order][:-1])))
@@ -277,7 +296,7 @@ def _kinds(chunk: C.Chunk, answers: dict[int, bytes], first_buckets: int) -> tup
     kind[use] = numbers
     smallest = np.full(int(new.sum()), C.NO_ID)
     np.minimum.at(smallest, numbers, chunk.ids[owner[use]])
-    return starts, at, kind, places, own[order][new], places[use][order][new], smallest
+    return starts, nth, kind, places, own[order][new], reach[:, order[new]], smallest
 
 
 _ENTRY = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("kind", "<i4"), ("around", "u1", (AROUND,))])
@@ -288,12 +307,12 @@ def _send_kinds(first_buckets: int, buckets: int):
         for batch in batches:
             for row in C.rows_of(batch):
                 chunk = C.opened(row)
-                *_, hashes, places, smallest = _kinds(chunk, C.answers_of(row), first_buckets)
+                *_, hashes, reach, smallest = _kinds(chunk, C.answers_of(row), first_buckets)
 
                 def blob(s: slice) -> bytes:
                     entries = np.empty(s.stop - s.start, dtype=_ENTRY)
                     entries["hash"], entries["doc"], entries["kind"] = hashes[s], smallest[s], np.arange(s.start, s.stop)
-                    entries["around"] = _surroundings(chunk, places[s])
+                    entries["around"] = _surroundings(chunk, *reach[:, s])
                     return C.packed(entries.tobytes())
 
                 yield _table([(b, chunk.chunk, x) for b, x in _blob_rows(C.bucket_of(hashes, buckets), buckets, blob)], _SENT_ARROW)
@@ -304,36 +323,40 @@ def _send_kinds(first_buckets: int, buckets: int):
 def smallest_of_windows(around: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """For each row of surroundings and each window in it, the smallest document of an equal window.
 
-    Windows that reach outside the text get ``NO_ID``.
+    Windows that reach outside the text get ``NO_ID``. Equal windows have the same place round their
+    anchor. So the sorted text is made of blocks of ``BLOCK`` bytes, counted from the same place in every row:
+    a window's whole blocks are a prefix of a suffix, neighbours in the suffix array tell which are equal, and
+    the few bytes before and behind the blocks are compared directly.
     """
-    n = len(around)
-    out = np.full((n, REACH + 1), C.NO_ID)
+    n, width = len(around), AROUND // BLOCK
+    blocks = np.ascontiguousarray(around).reshape(-1).view(f"V{BLOCK}")
+    names = np.unique(blocks.view(f"S{BLOCK}"), return_inverse=True)[1].reshape(n, width) + 1
+    text = np.zeros((n, width + 1), dtype=np.int64)
+    text[:, :width] = names
+    suffixes = np.array(suffix_array(text.ravel().tolist()), dtype=np.int64)
+    row, block = np.divmod(suffixes, width + 1)
+    by_block = [row[block == k] for k in range(width)]
     inside = around != OUTSIDE
-    first = inside.argmax(axis=1)
-    last = AROUND - inside[:, ::-1].argmax(axis=1)
-    flat, begins = [], np.zeros(n, dtype=np.int64)
-    held = 0
-    for i in range(n):
-        begins[i] = held
-        flat.append(around[i, first[i] : last[i]] + np.uint16(1))
-        flat.append(np.zeros(1, dtype=np.uint16))
-        held += last[i] - first[i] + 1
-    text = np.concatenate(flat)
-    suffixes = np.array(suffix_array(text.tolist()), dtype=np.int64)
-    row = np.searchsorted(begins, suffixes, "right") - 1
-    offset = suffixes - begins[row] + first[row]
-    whole = (offset <= REACH) & (offset + LENGTH <= last[row])
-    suffixes, row, offset = suffixes[whole], row[whole], offset[whole]
-    if not len(suffixes):
-        return out
-    windows = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
-    same = np.concatenate([
-        (windows[suffixes[i + 1 : i + 20_001]] == windows[suffixes[i : i + 20_000][: len(suffixes) - 1 - i]]).all(axis=1)
-        for i in range(0, len(suffixes) - 1, 20_000)
-    ]) if len(suffixes) > 1 else np.empty(0, dtype=bool)
-    runs = np.flatnonzero(np.concatenate(([True], ~same)))
-    least = np.minimum.reduceat(docs[row], runs)
-    out[row, offset] = np.repeat(least, np.diff(np.append(runs, len(suffixes))))
+    out = np.full((n, REACH + 1), C.NO_ID)
+    for offset in range(REACH + 1):
+        first, last = -(-offset // BLOCK), (offset + LENGTH) // BLOCK
+        rows = by_block[first]
+        rows = rows[inside[rows, offset] & inside[rows, offset + LENGTH - 1]]
+        if not len(rows):
+            continue
+        own = names[rows, first:last]
+        run = np.cumsum(np.concatenate(([True], (own[1:] != own[:-1]).any(axis=1))))
+        rest = np.zeros((len(rows), 24), dtype=np.uint8)
+        head = around[rows, offset : first * BLOCK]
+        tail = around[rows, last * BLOCK : offset + LENGTH]
+        rest[:, : head.shape[1]] = head
+        rest[:, head.shape[1] : head.shape[1] + tail.shape[1]] = tail
+        ends = rest.view("<u8")
+        order = np.lexsort((*ends.T, run))
+        r, e = run[order], ends[order]
+        new = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (e[1:] != e[:-1]).any(axis=1))))
+        least = np.minimum.reduceat(docs[rows[order]], new)
+        out[rows[order], offset] = np.repeat(least, np.diff(np.append(new, len(rows))))
     return out
 
 
@@ -381,26 +404,27 @@ _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", _SPANS)])
 
 
-def _covered(chunk: C.Chunk, row: dict, first_buckets: int) -> np.ndarray:
-    """Which bytes of the chunk a repeated window covers."""
-    starts, at, kind, places, hashes, _, smallest = _kinds(chunk, C.answers_of({"answers": row["first"]}), first_buckets)
-    cover = np.zeros(len(chunk.data) + 1, dtype=np.int64)
-    if len(hashes):
-        masks = np.zeros(len(hashes), dtype=np.uint64)
-        for answer in C.answers_of(row).values():
-            told = C.unpacked(answer)
-            n = len(told) // 12
-            masks[np.frombuffer(told[: 4 * n], dtype="<i4")] = np.frombuffer(told[4 * n :], dtype="<u8")
-        nth = np.searchsorted(places, at)
-        own = kind[nth]
-        # A text after the smallest of its chunk repeats that one's surroundings as a whole.
-        ids = chunk.ids[_owners(chunk, starts)]
-        bit = (starts - at + REACH).astype(np.uint64)
-        hit = (own >= 0) & ((ids > smallest[own]) | ((masks[own] >> bit) & np.uint64(1)).astype(bool))
-        cover[: -1] += np.bincount(starts[hit], minlength=len(chunk.data))
-        ends = starts[hit] + LENGTH
-        cover += -np.bincount(ends, minlength=len(cover))
-    return np.cumsum(cover)[:-1] > 0
+def _covered(chunk: C.Chunk, row: dict, first_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the chunk's runs of bytes that repeated windows cover."""
+    starts, nth, kind, places, hashes, _, smallest = _kinds(chunk, C.answers_of({"answers": row["first"]}), first_buckets)
+    masks = np.zeros(max(len(hashes), 1), dtype=np.uint64)
+    for answer in C.answers_of(row).values():
+        told = C.unpacked(answer)
+        n = len(told) // 12
+        masks[np.frombuffer(told[: 4 * n], dtype="<i4")] = np.frombuffer(told[4 * n :], dtype="<u8")
+    own = kind[nth] if len(nth) else nth
+    at = np.flatnonzero(own >= 0)
+    starts, nth, own = starts[at], nth[at], own[at]
+    # A text after the smallest of its chunk repeats that one's surroundings as a whole.
+    ids = chunk.ids[_owners(chunk, starts)]
+    bit = (starts - places[nth] + REACH).astype(np.uint64)
+    hits = starts[(ids > smallest[own]) | ((masks[own] >> bit) & np.uint64(1)).astype(bool)]
+    if not len(hits):
+        return hits, hits
+    # Windows of one text that overlap or touch make one run; texts are a blank apart.
+    owner = _owners(chunk, hits)
+    cut = np.flatnonzero((hits[1:] > hits[:-1] + LENGTH) | (owner[1:] != owner[:-1]))
+    return hits[np.concatenate(([0], cut + 1))], hits[np.concatenate((cut, [len(hits) - 1]))] + LENGTH
 
 
 def _remove(first_buckets: int):
@@ -408,15 +432,18 @@ def _remove(first_buckets: int):
         for batch in batches:
             for row in C.rows_of(batch):
                 chunk = C.opened(row)
-                gone = _covered(chunk, row, first_buckets)
+                begins, ends = _covered(chunk, row, first_buckets)
+                bounds = np.searchsorted(begins, chunk.begins)
                 out = []
                 for i, doc_id in enumerate(chunk.id_list()):
-                    low, high = chunk.begins[i], chunk.begins[i + 1] - 1
-                    mine = gone[low:high]
-                    edges = np.flatnonzero(np.diff(np.concatenate(([False], mine, [False])).astype(np.int8)))
-                    spans = [{"begin": int(a), "end": int(b)} for a, b in zip(edges[0::2], edges[1::2])]
-                    kept = chunk.data[low:high][~mine].tobytes()
-                    out.append((doc_id, int(high - low), int(mine.sum()), len(spans), sha256(kept).hexdigest(), spans))
+                    low, high = int(chunk.begins[i]), int(chunk.begins[i + 1]) - 1
+                    spans = list(zip(begins[bounds[i] : bounds[i + 1]].tolist(), ends[bounds[i] : bounds[i + 1]].tolist()))
+                    edges = [low, *[x for span in spans for x in span], high]
+                    kept = sha256()
+                    for a, b in zip(edges[0::2], edges[1::2]):
+                        kept.update(chunk.data[a:b].tobytes())
+                    out.append((doc_id, high - low, sum(b - a for a, b in spans), len(spans), kept.hexdigest(),
+                                [{"begin": a - low, "end": b - low} for a, b in spans]))
                 yield _table(out, _RESULT_ARROW)
 
     return remove
@@ -434,8 +461,8 @@ def repeated_strings(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES) -> DataF
     first = C.bucket_count(table, 0.34)
     second = C.bucket_count(table, 1.2)
     sent = table.mapInArrow(_send_anchors(first), _SENT)
-    known = stored(C.answered(table, sent.groupBy("bucket").applyInArrow(_common, _ANSWER)))
+    known = stored(C.answered(table, C.dealt(sent, first).groupBy("bucket").applyInArrow(_common, _ANSWER)))
     kinds = known.mapInArrow(_send_kinds(first, second), _SENT)
-    judged = kinds.groupBy("bucket").applyInArrow(_judge_kinds, _ANSWER)
+    judged = C.dealt(kinds, second).groupBy("bucket").applyInArrow(_judge_kinds, _ANSWER)
     final = C.answered(known.withColumnRenamed("answers", "first"), judged)
     return final.mapInArrow(_remove(first), _RESULT)
