@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import exact, mixing, near, packing, quality, sharding, suffixes, url_rules
+from tradewind.llm import exact, language, mixing, near, packing, passages, quality, sharding, suffixes, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,3 +81,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = suffixes.repeated_strings(table(spark, sf_dir, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_all(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.fuzzy_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_repeated", F.size("passages").alias("n_passages"),
+        F.array_sort(F.array_distinct("passages.partner")).alias("partners"), "passages",
+    )
