@@ -40,8 +40,8 @@ class Chunk:
         return [None if null else int(i) for i, null in zip(self.ids, self.nulls)]
 
 
-def packed(values: bytes) -> bytes:
-    return len(values).to_bytes(8, "little") + pa.compress(values, codec="zstd", asbytes=True)
+def packed(values: bytes, level: int = 1) -> bytes:
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", level).compress(values, asbytes=True)
 
 
 def unpacked(values: bytes) -> bytes:

@@ -299,7 +299,17 @@ def _kinds(chunk: C.Chunk, answers: dict[int, bytes], first_buckets: int) -> tup
     return starts, nth, kind, places, own[order][new], reach[:, order[new]], smallest
 
 
-_ENTRY = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("kind", "<i4"), ("around", "u1", (AROUND,))])
+def _kinds_blob(first: int, docs: np.ndarray, around: np.ndarray) -> bytes:
+    """Kinds ``first``, ``first`` + 1, ... of a chunk, with the smallest document and the bytes of each."""
+    return C.packed(first.to_bytes(8, "little") + docs.astype("<i8").tobytes() + around.tobytes(), level=4)
+
+
+def _from_kinds_blob(blob: bytes) -> tuple[int, np.ndarray, np.ndarray]:
+    held = C.unpacked(blob)
+    n = (len(held) - 8) // (8 + AROUND)
+    docs = np.frombuffer(held, dtype="<i8", count=n, offset=8)
+    around = np.frombuffer(held, dtype=np.uint8, offset=8 + 8 * n).reshape(n, AROUND)
+    return int.from_bytes(held[:8], "little"), docs, around
 
 
 def _send_kinds(first_buckets: int, buckets: int):
@@ -310,10 +320,7 @@ def _send_kinds(first_buckets: int, buckets: int):
                 *_, hashes, reach, smallest = _kinds(chunk, C.answers_of(row), first_buckets)
 
                 def blob(s: slice) -> bytes:
-                    entries = np.empty(s.stop - s.start, dtype=_ENTRY)
-                    entries["hash"], entries["doc"], entries["kind"] = hashes[s], smallest[s], np.arange(s.start, s.stop)
-                    entries["around"] = _surroundings(chunk, *reach[:, s])
-                    return C.packed(entries.tobytes())
+                    return _kinds_blob(int(s.start), smallest[s], _surroundings(chunk, *reach[:, s]))
 
                 yield _table([(b, chunk.chunk, x) for b, x in _blob_rows(C.bucket_of(hashes, buckets), buckets, blob)], _SENT_ARROW)
 
@@ -362,11 +369,11 @@ def smallest_of_windows(around: np.ndarray, docs: np.ndarray) -> np.ndarray:
 
 def _judge_kinds(table: pa.Table) -> pa.Table:
     """For each kind of a chunk, the windows that a smaller document has, as bits."""
-    blobs = [np.frombuffer(C.unpacked(b), dtype=_ENTRY) for b in table.column("sent").to_pylist()]
-    sizes = np.array([len(b) for b in blobs])
-    entries = np.concatenate(blobs)
-    hashes, docs = entries["hash"], entries["doc"]
-    told = _row_hash(entries["around"])
+    blobs = [_from_kinds_blob(b) for b in table.column("sent").to_pylist()]
+    docs, around = np.concatenate([b[1] for b in blobs]), np.concatenate([b[2] for b in blobs])
+    gram = np.ascontiguousarray(around[:, REACH : REACH + GRAM]).view("<u8")
+    hashes = mix(mix(gram[:, 0] + _SALT) + gram[:, 1])
+    told = _row_hash(around)
     order = np.lexsort((told, hashes))
     h, t = hashes[order], told[order]
     new_anchor = np.concatenate(([True], h[1:] != h[:-1]))
@@ -384,15 +391,15 @@ def _judge_kinds(table: pa.Table) -> pa.Table:
     for low, high in zip(cuts, [*cuts[1:], len(chosen)]):
         group += chosen[low:high].tolist()
         if len(group) * AROUND >= SORT_BYTES or high == len(chosen):
-            found[group] = smallest_of_windows(entries["around"][firsts[group]], least[group])
+            found[group] = smallest_of_windows(around[firsts[group]], least[group])
             group = []
     bits = (1 << np.arange(REACH + 1, dtype=np.uint64))
-    masks = np.empty(len(entries), dtype=np.uint64)
+    masks = np.empty(len(docs), dtype=np.uint64)
     masks[order] = ((found[kind] < docs[order][:, None]) * bits).sum(axis=1, dtype=np.uint64)
     rows, at = [], 0
-    for bucket, chunk, size in zip(table.column("bucket").to_pylist(), table.column("chunk").to_pylist(), sizes):
-        own, kinds = masks[at : at + size], entries["kind"][at : at + size]
-        at += size
+    for bucket, chunk, (first, own, _) in zip(table.column("bucket").to_pylist(), table.column("chunk").to_pylist(), blobs):
+        own, kinds = masks[at : at + len(own)], np.arange(first, first + len(own))
+        at += len(own)
         some = own != 0
         if some.any():
             rows.append((bucket, chunk, C.packed(kinds[some].astype("<i4").tobytes() + own[some].astype("<u8").tobytes())))
@@ -461,7 +468,9 @@ def repeated_strings(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES) -> DataF
     first = C.bucket_count(table, 0.34)
     second = C.bucket_count(table, 1.2)
     sent = table.mapInArrow(_send_anchors(first), _SENT)
-    known = stored(C.answered(table, C.dealt(sent, first).groupBy("bucket").applyInArrow(_common, _ANSWER)))
+    common = stored(C.dealt(sent, first).groupBy("bucket").applyInArrow(_common, _ANSWER))
+    # Both later passes read the chunks with these answers; the shuffle of the chunks serves both.
+    known = C.answered(table, common)
     kinds = known.mapInArrow(_send_kinds(first, second), _SENT)
     judged = C.dealt(kinds, second).groupBy("bucket").applyInArrow(_judge_kinds, _ANSWER)
     final = C.answered(known.withColumnRenamed("answers", "first"), judged)
