@@ -11,9 +11,9 @@ if their full sets say so.
 Groups of any size: equal sets are one class. In a band's bucket each class is compared with one
 pivot, so a bucket of n classes gives n - 1 candidates, not n squared. Components come from those
 links. What then still shares a bucket with another component is searched to the end: shingles that no
-other document of these buckets has cannot be in an intersection, which bounds a pair's similarity by
-two counts. Classes that this rules out leave; pairs of different components that it leaves are
-verified too. So no link between candidates is lost.
+other document of these buckets has cannot be in an intersection, and the others are counted in parts of
+the hash space: a pair's intersection is at most the sum of the smaller counts. Pairs of different
+components that this bound leaves are verified too. So no link between candidates is lost.
 
 With 32 bands of 4, a pair of similarity 0.8 misses every band with probability 5e-8.
 """
@@ -33,6 +33,7 @@ from tradewind.session import stored
 COORDINATES = 128
 BAND_ROWS = 4
 SIMILARITY = 80  # in hundredths
+PARTS = 128  # of the shingles, for the bound on intersections
 CHUNK_BYTES = 1 << 20
 _NONE = np.uint64(2**64 - 1)
 _SEEDS = tokens.mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -138,25 +139,34 @@ def _rest(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFram
     mixed = F.min("component").alias("low"), F.max("component").alias("high")
     unsettled = placed.groupBy("key").agg(*mixed).where("low <> high").select("key")
     open_members = stored(placed.join(unsettled, "key"))
-    alone = (
+    items = (
         sets.join(open_members.select("node").distinct(), "node", "left_semi")
-        .select("node", F.explode("items").alias("item"))
-        .groupBy("item").agg(F.count("*").alias("holders"), F.min("node").alias("node")).where("holders = 1")
-        .groupBy("node").agg(F.count("*").alias("alone"))
+        .select("node", F.explode("items").alias("item")).withColumn("part", F.pmod("item", F.lit(PARTS)))
+    )
+    alone = (
+        items.groupBy("item", "part").agg(F.count("*").alias("holders"), F.min("node").alias("node")).where("holders = 1")
+        .groupBy("node", "part").agg(F.count("*").alias("alone"))
     )
-    # With s hundredths: intersection <= shared counts, so n + m <= (100 + s) / s * the smaller one.
-    reach = F.lit(100 + similarity) * (F.col("n") - F.coalesce("alone", F.lit(0))) / F.lit(similarity)
-    bounded = open_members.join(alone, "node", "left").withColumn("reach", reach).drop("alone")
+    counted = items.groupBy("node", "part").agg(F.count("*").alias("all")).join(alone, ["node", "part"], "left")
+    in_part = F.map_from_entries(F.collect_list(F.struct("part", F.col("all") - F.coalesce("alone", F.lit(0)))))
+    profile = counted.groupBy("node").agg(in_part.alias("in_part")).select("node", F.transform(
+        F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda q: F.coalesce(F.col("in_part")[q.cast("long")], F.lit(0)).cast("int")).alias("parts"))
+    # With s hundredths: intersection <= what both share with others, so n + m <= (100 + s) / s * the smaller one.
+    held = F.aggregate("parts", F.lit(0), lambda done, count: done + count)
+    bounded = open_members.join(profile, "node").withColumn("reach", F.lit(100 + similarity) * held / F.lit(similarity))
     smallest = bounded.groupBy("key").agg(F.min("n").alias("least_n"))
     live = bounded.join(smallest, "key").where("n + least_n <= reach").drop("least_n")
     still = live.groupBy("key").agg(*mixed).where("low <> high").select("key")
     live = stored(live.join(still, "key"))
     a, b = live.alias("a"), live.alias("b")
+    # The same bound part by part is close to the intersection itself.
+    common = F.aggregate(F.zip_with("a.parts", "b.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda done, count: done + count)
     fits = (
         (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
         & (F.col("a.component") != F.col("b.component"))
         & (F.col("a.n") + F.col("b.n") <= F.least("a.reach", "b.reach"))
         & (100 * F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n"))
+        & ((100 + similarity) * common >= similarity * (F.col("a.n") + F.col("b.n")))
     )
     pairs = a.join(b, fits).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     return pairs.join(tried, ["u", "v"], "left_anti")
