@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed by the contracts: what separates words, and what a word is.
@@ -12,6 +12,18 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 RANK_BLOCKS = 1024
 
 
+#: Bytes of text that a Python worker gets at once; it holds several times as much in arrays.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get at most ``BATCH_BYTES`` at once, if the session allows more."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = "".join(c for c in spark.conf.get(name) if c.isdigit())
+    if not digits or int(digits) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use."""
     taken = {name.lower() for name in df.columns}

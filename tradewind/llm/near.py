@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm import tokens
-from tradewind.llm.columns import fresh
+from tradewind.llm.columns import fresh, small_batches
 from tradewind.llm.graph import components
 from tradewind.session import stored
 
@@ -112,7 +112,9 @@ def shingle_hashes(text: Column, size: int) -> Column:
         sets = _sets(text, size)
         return pa.StructArray.from_arrays(
             [pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
-             pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+             pa.ListArray.from_arrays(
+                 pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), pa.int32()),
+                 pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64()))],
             names=["node", "items"],
         )
 
@@ -177,6 +179,7 @@ def classes_of(docs: DataFrame, size: int, similarity: int) -> tuple[DataFrame,
 
     The first has doc_id, text_key, n, node; the second node and component, for classes with links only.
     """
+    small_batches(docs.sparkSession)
     signed = stored(
         docs.select("doc_id", F.xxhash64("text").alias("text_key"), signature(docs["text"], size).alias("s"))
         .select("doc_id", "text_key", "s.*")
