@@ -76,35 +76,41 @@ def outcomes(t: Inputs):
     return orders.saga_outcomes(t.order_log)
 
 
+# The log folded event by event, as the shop's own cart store does.
 CARTS = f"""
-    WITH log AS (
-      SELECT * FROM cart_log WHERE ts <= TIMESTAMP '{CARTS_AS_OF}'
-    ), gaps AS (
-      SELECT *, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM log
-    ), starts AS (
-      SELECT user_id, MAX(ts) AS last_update,
-             MAX(ts) FILTER (WHERE kind = 'checkout' OR ts >= before + INTERVAL 24 HOURS) AS start
-      FROM gaps GROUP BY user_id
-    ), live AS (
-      SELECT l.*, s.last_update FROM log l JOIN starts s ON l.user_id = s.user_id
-      WHERE (s.start IS NULL OR l.ts >= s.start) AND l.kind <> 'checkout'
-        AND s.last_update + INTERVAL 24 HOURS > TIMESTAMP '{CARTS_AS_OF}'
-    ), kept AS (
-      SELECT l.* FROM live l
-      WHERE NOT EXISTS (SELECT 1 FROM live r WHERE r.user_id = l.user_id
-                        AND r.product_id = l.product_id AND r.ts >= l.ts
-                        AND (r.kind = 'remove' OR (r.kind = 'set' AND r.quantity = 0)))
-    ), sets AS (
-      SELECT user_id, product_id, MAX(ts) AS set_ts, arg_max(quantity, ts) AS set_quantity
-      FROM kept WHERE kind = 'set' GROUP BY 1, 2
+    WITH RECURSIVE log AS (
+      SELECT user_id, kind, product_id, CAST(quantity AS BIGINT) AS quantity, price, ts,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+      FROM cart_log WHERE ts <= TIMESTAMP '{CARTS_AS_OF}'
+    ), fold AS (
+      SELECT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS TIMESTAMP) AS changed,
+             CAST([] AS STRUCT(product_id VARCHAR, quantity BIGINT, price DOUBLE)[]) AS cart
+      FROM log WHERE n = 1
+      UNION ALL
+      SELECT user_id, n,
+             CASE WHEN kind IN ('add', 'checkout') OR (present AND NOT (kind = 'set' AND quantity < 0))
+                  THEN ts ELSE changed END,
+             CASE WHEN kind = 'checkout' THEN []
+                  WHEN kind = 'add' AND NOT present
+                  THEN list_append(held, struct_pack(product_id := product_id, quantity := quantity, price := price))
+                  WHEN NOT present OR (kind = 'set' AND quantity < 0) THEN held
+                  WHEN kind = 'remove' OR (kind = 'set' AND quantity = 0)
+                  THEN list_filter(held, lambda x: x.product_id <> product_id)
+                  ELSE list_transform(held, lambda x: struct_pack(product_id := x.product_id, quantity :=
+                         CASE WHEN x.product_id <> product_id THEN x.quantity
+                              WHEN kind = 'set' THEN quantity ELSE x.quantity + quantity END, price := x.price))
+             END
+      FROM (SELECT *, list_contains(list_transform(held, lambda x: x.product_id), product_id) AS present
+            FROM (SELECT l.*, f.changed,
+                         CASE WHEN l.ts >= f.changed + INTERVAL 24 HOURS THEN [] ELSE f.cart END AS held
+                  FROM fold f JOIN log l ON l.user_id = f.user_id AND l.n = f.n + 1) opened) seen
     ), carts AS (
-      SELECT k.user_id, k.product_id,
-             CAST(COALESCE(MAX(s.set_quantity), 0)
-               + SUM(CASE WHEN s.set_ts IS NULL OR k.ts > s.set_ts THEN k.quantity ELSE 0 END)
-               AS BIGINT) AS quantity,
-             arg_min(k.price, k.ts) AS price, MAX(k.last_update) AS last_update
-      FROM kept k LEFT JOIN sets s ON k.user_id = s.user_id AND k.product_id = s.product_id
-      WHERE k.kind = 'add' GROUP BY 1, 2
+      SELECT user_id, item.product_id AS product_id, item.quantity AS quantity, item.price AS price,
+             changed AS last_update
+      FROM (SELECT f.user_id, f.changed, unnest(f.cart) AS item
+            FROM fold f JOIN (SELECT user_id, MAX(n) AS n FROM log GROUP BY user_id) l
+              ON f.user_id = l.user_id AND f.n = l.n
+            WHERE f.changed + INTERVAL 24 HOURS > TIMESTAMP '{CARTS_AS_OF}') living
     )"""
 
 
@@ -159,8 +165,8 @@ def ledger(t: Inputs):
 
 @query("r7_stock_ledger_hot_products", LEDGER)
 def ledger_hot(t: Inputs):
-    """Every product treated as a hot one."""
-    found = ledger_of(t, hot_above=0, width="1 day")
+    """Other slices, the same balances."""
+    found = ledger_of(t, width="1 day")
     return found.select("product_id", "move_id", "kind", "event_timestamp", "balance")
 
 

@@ -24,6 +24,10 @@ def plain_fold(log, as_of):
         if user in last and at >= last[user] + DAY:
             state[user] = {}
         cart = state.setdefault(user, {})
+        if kind in (carts.REMOVED, carts.QUANTITY_SET) and product not in cart:
+            continue
+        if kind == carts.QUANTITY_SET and quantity < 0:
+            continue
         if kind == carts.ADDED:
             if product in cart:
                 cart[product][0] += quantity
@@ -31,7 +35,7 @@ def plain_fold(log, as_of):
                 cart[product] = [quantity, price]
         elif kind == carts.REMOVED:
             cart.pop(product, None)
-        elif kind == carts.QUANTITY_SET and product in cart:
+        elif kind == carts.QUANTITY_SET:
             if quantity == 0:
                 cart.pop(product)
             else:
@@ -48,35 +52,35 @@ def plain_fold(log, as_of):
 
 
 def random_log(seed, size=400):
-    """A log as the shop writes it: removals and sets only of what is in the cart."""
+    """A log with removals and sets of what is not in the cart, and negative quantities to set."""
     rng = random.Random(seed)
-    log, held, last, at = [], {}, {}, START
+    log, at = [], START
     for event_id in range(size):
         at += timedelta(minutes=rng.choice([1, 5, 30, 200]))
-        user = f"u{rng.randrange(6)}"
-        if user in last and at >= last[user] + DAY:
-            held[user] = set()
-        cart = held.setdefault(user, set())
-        kind = rng.choice([carts.ADDED] * 4 + [carts.REMOVED, carts.QUANTITY_SET, carts.CHECKED_OUT])
-        product = f"p{rng.randrange(4)}"
-        quantity, price = rng.randrange(1, 5), float(rng.randrange(100))
-        if kind in (carts.REMOVED, carts.QUANTITY_SET):
-            if not cart:
-                continue
-            product = rng.choice(sorted(cart))
-            if kind == carts.QUANTITY_SET:
-                quantity = rng.randrange(0, 5)
-        if kind == carts.ADDED:
-            cart.add(product)
-        elif kind == carts.CHECKED_OUT:
-            cart.clear()
-        elif kind == carts.REMOVED or quantity == 0:
-            cart.discard(product)
-        last[user] = at
-        log.append((event_id, kind, user, product, quantity, price, at))
+        kind = rng.choice([carts.ADDED] * 3 + [carts.REMOVED] * 2 + [carts.QUANTITY_SET] * 2 + [carts.CHECKED_OUT])
+        quantity = rng.randrange(-1, 5) if kind == carts.QUANTITY_SET else rng.randrange(1, 5)
+        user, product = f"u{rng.randrange(6)}", f"p{rng.randrange(4)}"
+        log.append((event_id, kind, user, product, quantity, float(rng.randrange(100)), at))
     return log, at
 
 
+def test_what_has_no_effect_prolongs_nothing(spark):
+    def at(hours):
+        return START + timedelta(hours=hours)
+
+    log = [
+        (1, carts.ADDED, "u", "a", 1, 2.0, at(0)),
+        (2, carts.QUANTITY_SET, "u", "b", 3, 2.0, at(20)),
+        (3, carts.REMOVED, "u", "c", 1, 2.0, at(21)),
+        (4, carts.QUANTITY_SET, "u", "a", -2, 2.0, at(22)),
+        # The first cart has expired unseen, so this finds nothing to change.
+        (5, carts.QUANTITY_SET, "u", "a", 7, 2.0, at(25)),
+        (6, carts.ADDED, "v", "a", 1, 5.0, at(24)),
+    ]
+    found = carts.current_carts(spark.createDataFrame(log, SCHEMA), at(26)).collect()
+    assert [(r.user_id, r.product_id, r.quantity) for r in found] == [("v", "a", 1)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_batch_matches_plain_fold(spark, seed):
     log, end = random_log(seed)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions.scalars import line_total
 from tradewind.functions.timing import Instant, instant, interval, micros, slice_of
@@ -24,14 +28,51 @@ def _when_type(*types: str) -> Column:
     return F.col("event_type").isin(*types)
 
 
-def _cart_starts(events: DataFrame, as_of: Instant, ttl: str) -> DataFrame:
-    """Per user: the position the living cart starts at, and its last change.
+def cart_log(events: DataFrame) -> DataFrame:
+    """The changes to carts, in the form both folds read; ``at`` is the time in microseconds.
+
+    A missing quantity adds nothing and sets nothing.
+    """
+    unset = _when_type(QUANTITY_SET) & F.col("quantity").isNull()
+    return events.filter(_when_type(ADDED, REMOVED, CHECKED_OUT, QUANTITY_SET) & ~unset).select(
+        "event_id",
+        "event_type",
+        "user_id",
+        "product_id",
+        F.coalesce("quantity", F.lit(0)).cast("bigint").alias("quantity"),
+        F.coalesce(F.col("price").cast("double"), F.lit(0.0)).alias("price"),
+        F.unix_micros("event_timestamp").alias("at"),
+        "event_timestamp",
+    )
+
 
-    A cart starts anew at a checkout, and at a change that comes ``ttl`` or more after the one
+def apply_change(cart: dict, kind: str, product: str, quantity: int, price: float) -> bool:
+    """Change ``cart`` (product to quantity and price) and tell whether that had an effect.
+
+    Removing or setting what is not in the cart has none, nor has a negative quantity to set.
+    """
+    if kind == CHECKED_OUT:
+        cart.clear()
+    elif kind == ADDED:
+        held = cart.get(product)
+        cart[product] = (held[0] + quantity, held[1]) if held else (quantity, price)
+    elif product not in cart or (kind == QUANTITY_SET and quantity < 0):
+        return False
+    elif kind == REMOVED or quantity == 0:
+        del cart[product]
+    else:
+        cart[product] = (quantity, cart[product][1])
+    return True
+
+
+def _cart_starts(log: DataFrame, as_of: Instant, ttl: str) -> DataFrame:
+    """Per user: a position before which nothing is left in the cart.
+
+    That is the last checkout, or the last event that comes ``ttl`` or more after the one
     before. Such a gap cannot lie inside a slice as wide as ``ttl``, so it is found by comparing
-    the first change of a slice with the last change of the slice before it.
+    the first event of a slice with the last event of the slice before it.
     """
-    per_slice = events.groupBy(
+    per_slice = log.groupBy(
         "user_id", slice_of("event_timestamp", ttl).alias("slice")
     ).agg(
         F.min(_position()).alias("first"),
@@ -45,9 +86,10 @@ def _cart_starts(events: DataFrame, as_of: Instant, ttl: str) -> DataFrame:
         .groupBy("user_id")
         .agg(
             F.max(F.greatest("checkout", F.when(expired, F.col("first")))).alias("start"),
-            F.max("last").alias("last_update"),
+            F.max("last").alias("last"),
         )
-        .filter(F.col("last_update") + interval(ttl) > instant(as_of))
+        .filter(F.col("last") + interval(ttl) > instant(as_of))
+        .select("user_id", "start")
     )
 
 
@@ -56,54 +98,57 @@ def current_carts(events: DataFrame, as_of: Instant, ttl: str = CART_TTL) -> Dat
 
     Adding again raises the quantity and keeps the first price; setting a quantity replaces it;
     removing, or setting zero, forgets the product; a checkout, or ``ttl`` without a change,
-    empties the cart. Events are ordered by time, then id. Everything is found by aggregates
-    that combine before the shuffle: when a cart started, when a product was last removed or
-    set, and what was added since.
-    """
-    log = events.filter(
-        _when_type(ADDED, REMOVED, CHECKED_OUT, QUANTITY_SET)
-        & (F.col("event_timestamp") <= instant(as_of))
-    ).select("event_id", "event_type", "user_id", "product_id", "quantity", "price", "event_timestamp")
-
-    sets = _when_type(QUANTITY_SET)
-    removes = _when_type(REMOVED) | (sets & (F.col("quantity") == 0))
-    set_to = F.struct("event_timestamp", "event_id", "quantity")
-    marks = (
-        log.filter(~_when_type(CHECKED_OUT))
-        .groupBy("user_id", "product_id")
-        .agg(
-            F.max(F.when(removes, _position())).alias("removed"),
-            F.max(F.when(sets & (F.col("quantity") > 0), set_to)).alias("set_to"),
-        )
-        .join(_cart_starts(log, as_of, ttl), "user_id")
-    )
+    empties the cart. What has no effect (``apply_change``) does not prolong a cart's life
+    either. Events are ordered by time, then id.
 
-    # A checkout or gap starts the cart with the row itself; a removal starts it after the row.
-    def in_cart(position: Column) -> Column:
-        after_start = F.col("start").isNull() | (position >= F.col("start"))
-        after_removal = F.col("removed").isNull() | (position > F.col("removed"))
-        return after_start & after_removal
-
-    set_position = F.struct(
-        F.col("set_to.event_timestamp").alias("event_timestamp"),
-        F.col("set_to.event_id").alias("event_id"),
+    Whether an event has an effect depends on all before it, so a cart is folded in order. But
+    nothing before the last checkout or gap matters: that is found by aggregates that combine
+    before the shuffle, and only what comes after is sorted and folded, batch by batch, with one
+    cart in memory.
+    """
+    log = cart_log(events).filter(F.col("event_timestamp") <= instant(as_of))
+    columns = ["user_id", "event_type", "product_id", "quantity", "price", "at"]
+    arranged = (
+        log.join(_cart_starts(log, as_of, ttl), "user_id")
+        .filter(F.col("start").isNull() | (_position() >= F.col("start")))
+        .repartition("user_id")
+        .sortWithinPartitions("user_id", "event_timestamp", "event_id")
+        .select(*columns)
     )
-    set_counts = F.col("set_to").isNotNull() & in_cart(set_position)
-    marks = marks.withColumn("set_to", F.when(set_counts, F.col("set_to"))).withColumn(
-        "set_at", F.when(F.col("set_to").isNotNull(), set_position)
+    schema = T.StructType(
+        [
+            log.schema["user_id"],
+            log.schema["product_id"],
+            T.StructField("quantity", T.LongType()),
+            T.StructField("price", T.DoubleType()),
+            T.StructField("changed", T.LongType()),
+        ]
     )
-    after_set = F.col("set_at").isNull() | (_position() > F.col("set_at"))
-    adds = log.filter(_when_type(ADDED)).join(marks, ["user_id", "product_id"])
+    width = micros(ttl)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        user, cart, changed = None, {}, None
+
+        def items() -> list[tuple]:
+            return [(user, product, held[0], held[1], changed) for product, held in cart.items()]
+
+        for batch in batches:
+            found = []
+            for who, kind, product, quantity, price, at in zip(*(batch[column] for column in columns)):
+                if who != user:
+                    found += items()
+                    user, cart, changed = who, {}, None
+                if changed is not None and at >= changed + width:
+                    cart.clear()
+                if apply_change(cart, kind, product, quantity, price):
+                    changed = at
+            yield pd.DataFrame(found, columns=schema.names)
+        yield pd.DataFrame(items(), columns=schema.names)
+
     return (
-        adds.filter(in_cart(_position()))
-        .groupBy("user_id", "product_id")
-        .agg(
-            F.sum(F.when(after_set, F.col("quantity")).otherwise(0)).alias("added"),
-            F.max("set_to.quantity").alias("base"),
-            F.min_by("price", _position()).alias("price"),
-            F.max("last_update").alias("last_update"),
-        )
-        .withColumn("quantity", F.coalesce("base", F.lit(0)) + F.col("added"))
+        arranged.mapInPandas(fold, schema)
+        .withColumn("last_update", F.timestamp_micros("changed"))
+        .filter(F.col("last_update") + interval(ttl) > instant(as_of))
         .select(
             "user_id",
             "product_id",

@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tradewind.functions.timing import micros
-from tradewind.plans.carts import ADDED, CART_TTL, CHECKED_OUT, QUANTITY_SET, REMOVED
+from tradewind.plans.carts import CART_TTL, apply_change, cart_log
 
 CART_CHANGES = (
     "user_id string, product_id string, quantity bigint, price double, item_total double, "
@@ -36,12 +35,23 @@ class CartFold(StatefulProcessor):
         self.last = handle.getValueState("last", "micros bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = {product[0]: tuple(item) for product, item in self.items.iterator()}
+        before = self.last.get()[0] if self.last.exists() else None
+        cart, last = dict(held), before
         batch = pd.concat(list(rows), ignore_index=True)
         for event in batch.sort_values(["at", "event_id"]).itertuples():
-            if self.last.exists() and event.at >= self.last.get()[0] + self.ttl:
-                self.items.clear()
-            self._apply(event)
-            self.last.update((int(event.at),))
+            if last is not None and event.at >= last + self.ttl:
+                cart.clear()
+            if apply_change(cart, event.event_type, event.product_id, event.quantity, event.price):
+                last = int(event.at)
+        if (cart, last) == (held, before):
+            return
+        for product in held.keys() - cart.keys():
+            self.items.removeKey((product,))
+        for product, item in cart.items():
+            if held.get(product) != item:
+                self.items.updateValue((product,), (int(item[0]), float(item[1])))
+        self.last.update((last,))
         self._schedule()
         yield self._report(key[0])
 
@@ -53,22 +63,6 @@ class CartFold(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _apply(self, event) -> None:
-        product = (event.product_id,)
-        if event.event_type == CHECKED_OUT:
-            self.items.clear()
-        elif event.event_type == ADDED:
-            held = self.items.getValue(product) if self.items.containsKey(product) else None
-            quantity, price = held or (0, event.price)
-            self.items.updateValue(product, (int(quantity + event.quantity), float(price)))
-        elif self.items.containsKey(product):
-            removes = event.event_type == REMOVED or event.quantity == 0
-            if removes:
-                self.items.removeKey(product)
-            elif event.event_type == QUANTITY_SET:
-                price = self.items.getValue(product)[1]
-                self.items.updateValue(product, (int(event.quantity), price))
-
     def _schedule(self) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
@@ -92,20 +86,8 @@ def cart_changes(events: DataFrame, ttl: str = CART_TTL, watermark: str = "10 mi
     ``carts.current_carts`` is the batch counterpart. State is kept per user in the RocksDB
     store and leaves with the cart.
     """
-    shaped = events.filter(
-        F.col("event_type").isin(ADDED, REMOVED, CHECKED_OUT, QUANTITY_SET)
-    ).select(
-        "event_id",
-        "event_type",
-        "user_id",
-        "product_id",
-        F.coalesce("quantity", F.lit(0)).cast("bigint").alias("quantity"),
-        F.coalesce("price", F.lit(0.0)).alias("price"),
-        F.unix_micros("event_timestamp").alias("at"),
-        "event_timestamp",
-    )
     return (
-        shaped.withWatermark("event_timestamp", watermark)
+        cart_log(events).withWatermark("event_timestamp", watermark)
         .groupBy("user_id")
         .transformWithStateInPandas(
             CartFold(micros(ttl)), CART_CHANGES, outputMode="Update", timeMode="EventTime"
