@@ -126,6 +126,12 @@ def test_two_orders_for_the_whole_stock(spark):
         assert sorted((r.order_id, r.accepted) for r in found.collect()) == [("a", True), ("b", False)]
 
 
+def test_fractional_quantities_are_refused(spark):
+    requests = spark.createDataFrame([("p", "a", START, 0.5)], REQUEST.replace("int", "double"))
+    with pytest.raises(TypeError):
+        stock.reserve_greedy(spark.createDataFrame([("p", 2)], PRODUCT), requests)
+
+
 def test_more_than_the_stock_is_not_granted(spark):
     found = stock.reserve_greedy(
         spark.createDataFrame([("p", 100)], PRODUCT),
@@ -143,20 +149,20 @@ def ledger_log(seed, size=400):
     return rows
 
 
-@pytest.mark.parametrize("hot_above", [0, 120, 10_000])
-def test_running_sum_and_previous_row(spark, hot_above):
-    log = ledger_log(hot_above)
+@pytest.mark.parametrize("width", ["10 minutes", "1 hour", "30 days"])
+def test_running_sum_and_previous_row(spark, width):
+    log = ledger_log(len(width)) + [(key, -i, None, 3 * i) for key in ("hot", "a", "b") for i in (1, 2)]
     frame = spark.createDataFrame(log, "k string, id int, ts timestamp, v long")
     opening = spark.createDataFrame([("hot", 100), ("a", 10)], "k string, v long")
     balance, before, expected = {"hot": 100, "a": 10}, {}, []
-    for key, i, ts, value in sorted(log, key=lambda r: (r[0], r[2], r[1])):
+    for key, i, ts, value in sorted(log, key=lambda r: (r[0], r[2] or datetime.min, r[1])):
         balance[key] = balance.get(key, 0) + value
         expected.append((key, i, balance[key], before.get(key)))
         before[key] = value
 
-    summed = running_sum(frame, ["k"], "ts", "v", "total", ["id"], opening, "1 hour", hot_above)
+    summed = running_sum(frame, ["k"], "ts", "v", "total", ["id"], opening, width)
     assert sorted((r.k, r.id, r.total) for r in summed.collect()) == sorted(e[:3] for e in expected)
-    lagged = previous_row(frame, ["k"], "ts", ["v"], ["id"], width="1 hour", hot_above=hot_above)
+    lagged = previous_row(frame, ["k"], "ts", ["v"], ["id"], width=width)
     got = sorted((r.k, r.id, r.prev_v) for r in lagged.collect())
     assert got == sorted((k, i, prev) for k, i, _, prev in expected)
 

@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from tradewind.session import stored
 
-# A key with more rows than this is not left to one task.
-HOT_ABOVE = 1_000_000
 # The list of hot keys is broadcast up to this many; beyond, it is joined by shuffling.
 BROADCAST_KEYS = 10_000
 
 
 def split_hot(
-    df: DataFrame, keys: list[str], hot_above: int = HOT_ABOVE
+    df: DataFrame, keys: list[str], hot_above: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """``df`` without its hot keys, and the rows of the hot keys, or ``None`` if there are none.
 

@@ -106,7 +106,8 @@ def contained_in(
             )
         ).alias("_text")
     )
-    return having(pieces, wanted, ["_text"]).distinct().toDF(needle)
+    # Pieces are the side that is made distinct before its shuffle, so common ones are sent once a task.
+    return having(wanted.distinct(), pieces, ["_text"]).toDF(needle)
 
 
 def zero_filled(counts: DataFrame, key: str, count: str, expected: list[str]) -> DataFrame:

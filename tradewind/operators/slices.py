@@ -1,10 +1,10 @@
 """Running sums and previous-row lookups that stay parallel inside one hot key.
 
-A window over a key puts all of the key's rows into one task. That is the best plan for usual
-keys, which get it. Hot keys are cut into slices of time. A first pass reduces every slice to
-one row, combined before the shuffle, and a window over those few rows gives the value each
-slice starts from. That start joins the slice as one extra row in front, so the detail rows need
-only a window over (key, slice) and no join.
+A window over a key puts all of the key's rows into one task. So keys are cut into slices of
+time. Every slice is first reduced to one row, combined before the shuffle, and a window over those
+few rows gives the value each slice starts from. That start joins the slice as one extra row in
+front, so the detail rows need only a window over (key, slice) and no join. All keys get the
+same plan, whatever their size, and nothing is counted when a query is built.
 """
 
 from __future__ import annotations
@@ -15,14 +15,12 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tradewind.functions.timing import slice_of
-from tradewind.operators.hot import HOT_ABOVE, split_hot
 
-_SLICE, _START = "_slice", "_is_start"
+_SLICE, _START, _OPENS = "_slice", "_is_start", "_opens"
 
 
-def _ordered(keys: list[str], ts: str, ties: list[str], marked: bool = True) -> WindowSpec:
-    front = [F.col(_START).desc()] if marked else []
-    return Window.partitionBy(*keys).orderBy(*front, F.col(ts), *ties)
+def _ordered(keys: list[str], ts: str, ties: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(F.col(_START).desc(), F.col(ts), *ties)
 
 
 def _with_starts(
@@ -44,48 +42,29 @@ def running_sum(
     ties: list[str] = (),
     opening: DataFrame | None = None,
     width: str = "1 hour",
-    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over this and all earlier rows of the key.
 
-    Rows are ordered by ``ts`` then ``ties``. ``opening`` (keys + ``value``, one row per key) is
-    an amount each key starts from. ``width`` bounds the part of a hot key one task sorts.
+    Rows are ordered by ``ts`` then ``ties``; rows without a time come first. ``opening`` (keys +
+    ``value``, one row per key) is an amount each key starts from. ``width`` bounds the part of a
+    key one task sorts, and changes no result.
     """
-    usual, hot = split_hot(df, keys, hot_above)
-    order = _ordered(keys, ts, list(ties), marked=opening is not None)
-    so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    if opening is None:
-        summed = usual.withColumn(out, so_far)
-    else:
-        summed = _with_starts(usual, opening, lambda rows: rows.withColumn(out, so_far))
-    if hot is None:
-        return summed
-    return summed.unionByName(sliced_sum(hot, keys, ts, value, out, ties, opening, width))
-
-
-def sliced_sum(
-    hot: DataFrame,
-    keys: list[str],
-    ts: str,
-    value: str,
-    out: str,
-    ties: list[str] = (),
-    opening: DataFrame | None = None,
-    width: str = "1 hour",
-) -> DataFrame:
-    """``running_sum`` for rows whose keys are known to be hot."""
-    sliced = hot.withColumn(_SLICE, slice_of(ts, width))
-    totals = sliced.groupBy(*keys, _SLICE).agg(F.sum(value).alias(value))
+    sliced = df.withColumn(_SLICE, slice_of(ts, width))
+    totals = sliced.groupBy(*keys, _SLICE).agg(F.sum(value).alias(value)).withColumn(_OPENS, F.lit(False))
     if opening is not None:
-        before_all = opening.select(*keys, F.lit(None).cast("bigint").alias(_SLICE), value)
+        before_all = opening.select(
+            *keys, F.lit(None).cast("bigint").alias(_SLICE), value, F.lit(True).alias(_OPENS)
+        )
         totals = totals.unionByName(before_all)
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy(F.col(_SLICE).asc_nulls_first())
+        .orderBy(F.col(_OPENS).desc(), F.col(_SLICE).asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = totals.withColumn(value, F.sum(value).over(earlier)).filter(
-        F.col(value).isNotNull() & F.col(_SLICE).isNotNull()
+    starts = (
+        totals.withColumn(value, F.sum(value).over(earlier))
+        .filter(F.col(value).isNotNull() & ~F.col(_OPENS))
+        .drop(_OPENS)
     )
     order = _ordered([*keys, _SLICE], ts, list(ties))
     so_far = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -100,20 +79,15 @@ def previous_row(
     ties: list[str] = (),
     prefix: str = "prev_",
     width: str = "1 hour",
-    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Add ``prev_<column>`` for each of ``columns``: its value in the key's previous row."""
 
-    def lagged(rows: DataFrame, order: WindowSpec) -> DataFrame:
+    def lagged(rows: DataFrame) -> DataFrame:
         previous = [F.lag(column).over(order).alias(prefix + column) for column in columns]
         return rows.select("*", *previous)
 
-    usual, hot = split_hot(df, keys, hot_above)
-    compared = lagged(usual, _ordered(keys, ts, list(ties), marked=False))
-    if hot is None:
-        return compared
-
-    sliced = hot.withColumn(_SLICE, slice_of(ts, width))
+    order = _ordered([*keys, _SLICE], ts, list(ties))
+    sliced = df.withColumn(_SLICE, slice_of(ts, width))
     lasts = sliced.groupBy(*keys, _SLICE).agg(
         F.max_by(F.struct(*columns), F.struct(ts, *ties)).alias("_last")
     )
@@ -123,6 +97,4 @@ def previous_row(
         .filter(F.col("_last").isNotNull())
         .select(*keys, _SLICE, "_last.*")
     )
-    order = _ordered([*keys, _SLICE], ts, list(ties))
-    found = _with_starts(sliced, starts, lambda rows: lagged(rows, order)).drop(_SLICE)
-    return compared.unionByName(found)
+    return _with_starts(sliced, starts, lagged).drop(_SLICE)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import derived_id, iso_text, tracking_number
 from tradewind.functions.timing import Instant, instant, interval, seconds_between
 from tradewind.operators.joins import having
 from tradewind.operators.ranking import first_per_key
-from tradewind.operators.slices import previous_row
 
 # ---- fixed values ---------------------------------------------------------------------------
 # Status an event moves its order to, and how far along the order then is.
@@ -99,9 +98,9 @@ def lifecycle_violations(
         *ties,
         status_of(F.col("event_type")).alias("status"),
     ).filter("status is not null")
-    compared = previous_row(
-        history, ["order_id"], "event_timestamp", ["status"], list(ties)
-    )
+    # An order has a handful of events, so a window over the order is enough.
+    in_order = Window.partitionBy("order_id").orderBy("event_timestamp", *ties)
+    compared = history.withColumn("prev_status", F.lag("status").over(in_order))
     step, before = step_of(F.col("status")), step_of(F.col("prev_status"))
     left_final = (before == FINAL_STEP) & (F.col("status") != F.col("prev_status"))
     violation = F.when(~F.col("status").isin(list(expected)), "UNEXPECTED").when(

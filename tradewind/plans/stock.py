@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.timing import Instant, instant
-from tradewind.operators.hot import HOT_ABOVE, split_hot
+from tradewind.operators.hot import split_hot
 from tradewind.operators.joins import having
-from tradewind.operators.slices import running_sum, sliced_sum
+from tradewind.operators.slices import running_sum
 from tradewind.session import stored
 
 # ---- fixed values ---------------------------------------------------------------------------
@@ -30,7 +30,6 @@ def stock_ledger(
     moves: DataFrame,
     ties: tuple[str, ...] = ("move_id",),
     width: str = "1 hour",
-    hot_above: int = HOT_ABOVE,
 ) -> DataFrame:
     """Every move with its signed change and the product's stock after it.
 
@@ -49,7 +48,6 @@ def stock_ledger(
         list(ties),
         opening,
         width,
-        hot_above,
     )
 
 
@@ -75,11 +73,14 @@ def reserve_greedy(
 
     A skipped request does not stop later, smaller ones. The result is ``requests`` with
     ``accepted``; (event_timestamp, ties) must order the requests of a product uniquely. A
-    request for an unknown product, or for nothing, is not granted.
+    request for an unknown product, or for nothing, is not granted. Stock is counted in whole units,
+    so ``quantity`` must be of a whole-number type.
 
     Usual products are folded in one pass over sorted partitions. A hot product would keep one
     task busy, so hot ones are decided by ranges of stock instead (``_reserve_by_ranges``).
     """
+    if not isinstance(requests.schema["quantity"].dataType, T.IntegralType):
+        raise TypeError("quantity must be of a whole-number type")
     usual, hot = split_hot(requests, ["product_id"], hot_above)
     decided = _reserve_by_folding(products, usual, ties)
     if hot is None:
@@ -186,7 +187,7 @@ def _pass_range(
     )
     is_small = F.col("quantity") < half
     small = F.when(is_small, F.col("quantity")).otherwise(0).cast("bigint")
-    summed = sliced_sum(
+    summed = running_sum(
         ahead.withColumn("small", small),
         ["product_id"],
         "event_timestamp",

@@ -14,15 +14,18 @@ from tradewind.functions.scalars import from_epoch_seconds, parse_json, parse_ti
 from tradewind.schemas import DEAD_LETTER_TOPIC, ENVELOPE, pick, schema_for
 
 
-def source_options(servers: str, max_per_trigger: int | None = None) -> dict[str, str]:
+def source_options(
+    servers: str, max_per_trigger: int | None = None, fail_on_data_loss: bool = False
+) -> dict[str, str]:
     """Kafka options: start at the earliest record, survive expired records, limit the rate.
 
-    The rate limit is per micro-batch over all partitions.
+    The rate limit is per micro-batch over all partitions. With ``fail_on_data_loss`` a stream stops
+    when records expired before it read them.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -43,15 +46,20 @@ def read_topic(spark: SparkSession, topic: str, options: dict[str, str]) -> Data
     return read_topics(spark, [topic], options)
 
 
-def scan_topics(spark: SparkSession, topics: list[str], servers: str) -> DataFrame:
-    """Everything now in the topics, as a batch, one task per Kafka partition range."""
+def scan_topics(
+    spark: SparkSession, topics: list[str], servers: str, fail_on_data_loss: bool = True
+) -> DataFrame:
+    """Everything now in the topics, as a batch, one task per Kafka partition range.
+
+    Records that vanish meanwhile are an error, unless ``fail_on_data_loss`` is off.
+    """
     return (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "earliest")
         .option("endingOffsets", "latest")
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
     )
 
