@@ -118,7 +118,8 @@ def shingle_hashes(text: Column, size: int) -> Column:
             names=["node", "items"],
         )
 
-    return hashes(text)
+    # So that a filter on the result does not move it below the join in front of it, onto all rows.
+    return hashes.asNondeterministic()(text)
 
 
 def _close(n: Column, m: Column, common: Column, similarity: int) -> Column:
@@ -126,10 +127,10 @@ def _close(n: Column, m: Column, common: Column, similarity: int) -> Column:
     return 100 * common >= similarity * (n + m - common)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Those of the pairs (u, v) whose full sets are similar enough."""
-    ours = sets.select(F.col("node").alias("u"), F.col("items").alias("x"))
-    theirs = sets.select(F.col("node").alias("v"), F.col("items").alias("y"))
+def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, similarity: int) -> DataFrame:
+    """Those of the pairs (u, v) whose full sets, one in ``left`` and one in ``right``, are similar enough."""
+    ours = left.select(F.col("node").alias("u"), F.col("items").alias("x"))
+    theirs = right.select(F.col("node").alias("v"), F.col("items").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return pairs.join(ours, "u").join(theirs, "v").where(
         _close(F.size("x"), F.size("y"), common, similarity)).select("u", "v")
@@ -184,29 +185,36 @@ def classes_of(docs: DataFrame, size: int, similarity: int) -> tuple[DataFrame,
         docs.select("doc_id", F.xxhash64("text").alias("text_key"), signature(docs["text"], size).alias("s"))
         .select("doc_id", "text_key", "s.*")
     )
-    classes = signed.where("n > 0").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
-    members = classes.select("node", "n", "doc_id", F.explode("bands").alias("key"))
+    # The row whose text stands for the class: its id and text key, as one hash.
+    holder = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("row")
+    classes = signed.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), holder)
+    members = classes.select("node", "n", F.explode("bands").alias("key"))
     pivots = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
     shared = stored(members.join(pivots.select("key", "pivot"), "key"))
-    star = (
+    star = stored(
         shared.where("node <> pivot.node")
         .where(100 * F.least("n", "pivot.n") >= similarity * F.greatest("n", "pivot.n"))
         .select(F.col("pivot.node").alias("u"), F.col("node").alias("v")).distinct()
     )
-    # The texts of the classes in question, by id; their key tells whether it is the right row.
-    holders = shared.select("doc_id").distinct().withColumnRenamed("doc_id", "holder")
-    wanted = shared.select("node").distinct()
+    # The classes in question, and on which side of the pairs they are, so that only those are sent there.
+    no, yes = F.lit(False), F.lit(True)
+    sides = (
+        shared.select("node", no.alias("left"), no.alias("right"))
+        .union(star.select("u", yes, no)).union(star.select("v", no, yes))
+        .groupBy("node").agg(F.bool_or("left").alias("left"), F.bool_or("right").alias("right"))
+    )
+    wanted = classes.select(F.xxhash64("row.doc_id", "row.text_key").alias("holder"), F.col("node").alias("wanted")).join(
+        sides.withColumnRenamed("node", "wanted"), "wanted")
     sets = stored(
-        docs.select("doc_id", "text").join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
-        .select(shingle_hashes(F.col("text"), size).alias("s")).select("s.*")
-        .where("node is not null").join(wanted, "node", "left_semi")
-        .groupBy("node").agg(F.first("items").alias("items"))
+        docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("holder"), "text").join(wanted, "holder")
+        .select("holder", "wanted", "left", "right", shingle_hashes(F.col("text"), size).alias("s"))
+        .where(F.col("s.node") == F.col("wanted"))
+        .groupBy("holder", "wanted", "left", "right").agg(F.first("s.items").alias("items"))
+        .select(F.col("wanted").alias("node"), "left", "right", "items")
     )
-    star = stored(star)
-    links = stored(_verified(star, sets, similarity))
+    links = stored(_verified(star, sets.where("left"), sets.where("right"), similarity))
     found = stored(components(links))
-    more = stored(_verified(_rest(shared.select("key", "node", "n"), found, sets, star, similarity), sets, similarity))
+    more = stored(_verified(_rest(shared.select("key", "node", "n"), found, sets, star, similarity), sets, sets, similarity))
     if not more.isEmpty():
         found = components(more.union(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     return signed.drop("bands"), found
