@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tradewind.llm import tokens
 from tradewind.llm.columns import fresh
+from tradewind.session import stored
 
 CHUNK_BYTES = 1 << 20
 REPEAT_WINDOW = 5
@@ -192,9 +193,10 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: floa
         .where(~base_failed(F.col("s"))).select("doc_id", "stratum", *[c.alias(n) for n, c in scores(F.col("s")).items()])
         .join(told, F.col("doc_id") == F.col("label_id"))
     )
-    chosen = cutoffs(labelled, risk, delta).groupBy("stratum").agg(
+    # One row per stratum, in a file: Spark sees its size, and broadcasts it instead of shuffling texts by stratum.
+    chosen = stored(cutoffs(labelled, risk, delta).groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(cuts)
-    ).withColumnRenamed("stratum", theirs)
+    ).withColumnRenamed("stratum", theirs))
     with_cuts = counted.join(chosen, counted[stratum].eqNullSafe(chosen[theirs]), "left")
     rejects = F.lit(False)
     for rule, score in scores(stats).items():
