@@ -101,6 +101,10 @@ def text_stats(text: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=STATS)
 
 
+# So that a filter on the counts does not count once more for itself below.
+text_stats = text_stats.asNondeterministic()
+
+
 def base_failed(stats: Column) -> Column:
     """Fewer than 10 words, or more than a fifth of the words in repeated windows."""
     return (stats["n_words"] < 10) | (100 * stats["n_repeat_words"] > 20 * stats["n_words"])
