@@ -8,7 +8,7 @@ import pytest
 from tradewind.operators.dedup import dedup_events
 from tradewind.plans import jobs
 from tradewind.schemas import RESULT_KEYS
-from tradewind.sources.sinks import read_current, write_batch
+from tradewind.sources.sinks import merge_source, read_current, write_batch
 from tradewind.sources.topics import decode, scan_files, stream_files
 from tradewind.streaming.runner import batch_folder_sink, start_job
 
@@ -206,3 +206,18 @@ def test_empty_batches_write_nothing(spark, topic, tmp_path):
     topic.send(topic.payment(NOON))
     run(revenue(stream_files(spark, topic.path)), tmp_path)
     assert not (tmp_path / "out").exists()
+
+
+def test_all_rows_of_the_latest_batch_stay(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    write_batch(spark.createDataFrame([("a", 1), ("b", 1), ("b", 1), (None, 1), (None, 2)], "k string, v int"), path, 0)
+    write_batch(spark.createDataFrame([("a", 2), ("a", 3), (None, 3), (None, 4)], "k string, v int"), path, 1)
+    assert rows(read_current(spark, path, ["k"])) == sorted([("a", 2), ("a", 3), ("b", 1), ("b", 1), (None, 3), (None, 4)], key=repr)
+
+
+def test_merge_refuses_rows_that_share_a_key(spark, rows):
+    df = spark.createDataFrame([("a", 1), (None, 1), ("b", 2)], "k string, v int")
+    assert rows(merge_source(df, ["k"])) == rows(df)
+    for more in ("a", None):
+        with pytest.raises(Exception, match="share the key"):
+            merge_source(df.union(spark.createDataFrame([(more, 5)], "k string, v int")), ["k"]).count()

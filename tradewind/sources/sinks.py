@@ -2,7 +2,7 @@
 
 Rows are always written by the executors. Stream results go to one folder per batch: a batch
 that runs again after a failure overwrites its own folder. ``read_current`` then keeps, per
-key, the row of the latest batch. A catalog table that supports MERGE is updated in place.
+key, all rows of the latest batch that has the key. A catalog table that supports MERGE is updated in place.
 """
 
 from __future__ import annotations
@@ -64,17 +64,31 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The stored rows with, per key, only those of the latest batch."""
+    """The stored rows with, per key, only those of the latest batch that has the key.
+
+    All rows that share a key within that batch stay; nulls in a key equal each other.
+    """
     stored = spark.read.option("basePath", path).parquet(path)
-    newest = Window.partitionBy(*keys).orderBy(F.col(BATCH).desc())
-    ranked = stored.withColumn("_position", F.row_number().over(newest))
-    return ranked.filter("_position = 1").drop("_position", BATCH)
+    newest = F.max(BATCH).over(Window.partitionBy(*keys))
+    ranked = stored.withColumn("_newest", newest)
+    return ranked.filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
+
+
+def merge_source(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, which fails when it is computed if several of its rows share a key; nulls equal each other."""
+    several = F.count("*").over(Window.partitionBy(*keys)) > 1
+    message = F.concat(F.lit("several rows to merge share the key "), F.to_json(F.struct(*keys)))
+    # The filter holds the check, so that no choice of columns drops it.
+    return df.withColumn("_several", several).filter(F.when(F.col("_several"), F.raise_error(message).cast("boolean")).otherwise(True)).drop("_several")
 
 
 def merge_into(df: DataFrame, table: str, keys: list[str]) -> None:
-    """Update or insert by key in a catalog table whose format supports row-level MERGE."""
-    source = df.dropDuplicates(keys).alias("source")
-    same_row = [F.col(f"source.{key}") == F.col(f"{table}.{key}") for key in keys]
+    """Update or insert by key in a catalog table whose format supports row-level MERGE.
+
+    Keys are compared null-safe. Several rows with one key are an error: a table by key can hold only one.
+    """
+    source = merge_source(df, keys).alias("source")
+    same_row = [F.col(f"source.{key}").eqNullSafe(F.col(f"{table}.{key}")) for key in keys]
     condition = same_row[0]
     for part in same_row[1:]:
         condition = condition & part
