@@ -76,6 +76,25 @@ def test_stretches():
     assert found == [(30, 90), (130, 199)]
 
 
+def test_stretches_across_a_gap():
+    hit = np.array([1] * 30 + [0] * 10 + [1] * 30, dtype=bool)
+    assert passages.stretches(hit) == [(0, 70)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.booleans(), max_size=40), st.sampled_from([0.5, 0.75, 0.8]))
+def test_stretches_brute_force(hit, identity):
+    def longest(low, high):
+        fits = [(j - i, -i) for i in range(low, high) for j in range(i + 6, high + 1)
+                if hit[i] and hit[j - 1] and sum(hit[i:j]) * 100 >= round(identity * 100) * (j - i)]
+        if not fits:
+            return []
+        size, begin = max(fits)
+        return [*longest(low, -begin), (-begin, size - begin), *longest(size - begin, high)]
+
+    assert sorted(passages.stretches(np.array(hit, dtype=bool), 6, identity)) == longest(0, len(hit))
+
+
 def planted(seed, n=60):
     draw = random.Random(seed)
 
