@@ -142,3 +142,63 @@ def test_fuzzy_passages(spark, chunk):
     assert (by_id[None].n_repeated == by_id[None].n_words) == long_enough
     assert by_id[61].n_words == 0 and by_id[62].passages == []
     assert passages.fuzzy_passages(df.limit(0)).count() == 0
+
+
+def test_a_mixture_of_earlier_passages_is_found(spark):
+    draw = random.Random(2)
+
+    def words(k):
+        return [f"w{draw.randrange(10**6)}" for _ in range(k)]
+
+    one, two = words(30), words(30)
+    rows = [words(40) + one + words(40), words(40) + two + words(40), words(40) + one + two + words(40), words(20) + one + two + words(60)]
+    joint = words(20) + one[:-1] + ["other"] + two + words(60)
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate([*rows, joint])], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df, 700).collect()}
+    assert [got[i].n_repeated for i in range(3)] == [0, 0, 0]
+    assert [tuple(p) for p in got[3].passages] == [(20, 80, 2)]
+    assert (20, 80, 2) in [tuple(p) for p in got[4].passages]
+
+
+def test_a_run_of_the_least_length_behind_shorter_ones(spark):
+    draw = random.Random(4)
+    body = [f"w{draw.randrange(10**6)}" for _ in range(50)]
+
+    def around(part):
+        return " ".join(f"x{draw.randrange(10**6)}" for _ in range(30)) + " " + " ".join(part) + " " + " ".join(f"x{draw.randrange(10**6)}" for _ in range(30))
+
+    parts = [body[:49], body[1:], body[:40], body[10:], body, body]
+    df = spark.createDataFrame([(i, around(p)) for i, p in enumerate(parts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df).collect()}
+    assert (30, 80, 4) in [tuple(p) for p in got[5].passages]
+
+
+@pytest.mark.parametrize("length, every", [(80, 8), (80, 6), (60, 8), (60, 6)])
+def test_recall_of_edited_passages(spark, length, every):
+    draw = random.Random(length + every)
+
+    def words(k):
+        return [f"w{draw.randrange(10**6)}" for _ in range(k)]
+
+    rows, n = [], 100
+    bank = [words(length) for _ in range(n)]
+    rows += [(i, words(40) + b + words(40)) for i, b in enumerate(bank)]
+    rows += [(n + i, words(60) + [w if j % every != every - 1 else "other" for j, w in enumerate(b)] + words(60)) for i, b in enumerate(bank)]
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df).collect()}
+    assert sum(p.partner == i and p.end - p.begin >= length - every for i in range(n) for p in got[n + i].passages) == n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14), st.sampled_from([1, 20, 1 << 26]))
+def test_gap_matches_is_a_longest_common_subsequence(a, b, bits):
+    size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            size[i + 1][j + 1] = size[i][j] + 1 if x == y else max(size[i][j + 1], size[i + 1][j])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(passages, "_TABLE_BITS", bits)
+        matched = passages._gap_matches(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
+    assert len(set(matched)) == len(matched) == size[-1][-1]
+    rest = iter(b)
+    assert all(a[i] in rest for i in sorted(matched))
