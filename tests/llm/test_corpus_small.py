@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradewind.llm import exact, mixing, near, packing, quality, sharding, tokens, url_rules
 
@@ -331,6 +332,17 @@ def test_mixing(docs, nothing, spark):
     assert mixing.replicate(docs, targets.limit(0)).count() == 0
 
 
+def test_mixing_with_very_high_rates(spark):
+    df = spark.createDataFrame([(i, None, "tiny") for i in range(40)] + [(99, "x" * 200_000, "big")], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("tiny", 1.0), ("big", 1.0)], "source string, weight double")
+    got = {r.doc_id: (r.n, r.m) for r in mixing.replicate(df, targets).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("copy_no").alias("m")).collect()}
+    counts = [got[i][0] for i in range(40)]
+    rate = (200_001 + 40) / 2 / 40
+    assert abs(sum(counts) / 40 - rate) < 5 * math.sqrt(rate / 40) and len(set(counts)) > 20
+    assert 0.4 * rate < sum((n - rate) ** 2 for n in counts) / 40 < 2 * rate
+    assert all(got[i][0] == got[i][1] for i in range(40))
+
+
 def test_mixing_meets_the_rate(spark):
     df = spark.range(20_000).selectExpr("id doc_id", "'abc' text", "if(id % 3 = 0, 'a', 'b') source", "1 copy_no")
     targets = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, weight double")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.columns import bytes_of, fresh, unit_draw
 from tradewind.session import stored
 
+#: Rate of one Poisson draw; a higher rate is the sum of several draws.
 MAX_RATE = 500.0
 
 
@@ -73,14 +74,18 @@ def replicate(docs: DataFrame, targets: DataFrame, epochs: float = 1.0, seed: in
     """
     sizes = stored(source_sizes(docs)) if sizes is None else sizes
     table = rates(sizes, targets, epochs)
-    highest = table.agg(F.max("rate")).first()[0]
-    if highest is not None and highest > MAX_RATE:
-        raise ValueError(f"a source would be repeated {highest:.0f} times on average; at most {MAX_RATE:.0f} is allowed")
-    theirs, cdf = fresh(docs, "rate_source"), fresh(docs, "cdf")
+    theirs, cdf, draws = fresh(docs, "rate_source"), fresh(docs, "cdf"), fresh(docs, "n_draws")
     copies, key = fresh(docs, "copy_no"), fresh(docs, "mix_key")
-    known = table.select(F.col("source").alias(theirs), poisson_cdf(F.col("rate")).alias(cdf))
-    draw = unit_draw(F.lit(seed), docs["doc_id"])
-    count = F.size(F.filter(F.col(cdf), lambda c: c <= draw))
+    needed = F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_RATE).cast("int"))
+    known = table.select(F.col("source").alias(theirs), needed.alias(draws), poisson_cdf(F.col("rate") / needed).alias(cdf))
+
+    def quantile(draw: Column) -> Column:
+        return F.size(F.filter(F.col(cdf), lambda c: c <= draw))
+
+    # Sums of Poisson numbers are Poisson: draws beyond the first are independent of it by their number.
+    further = F.transform(F.sequence(F.lit(1), F.col(draws) - 1), lambda n: unit_draw(F.lit(seed), docs["doc_id"], n))
+    rest = F.when(F.col(draws) > 1, F.aggregate(further, F.lit(0), lambda n, draw: n + quantile(draw))).otherwise(0)
+    count = quantile(unit_draw(F.lit(seed), docs["doc_id"])) + rest
     mixed = (
         docs.join(known, docs["source"].eqNullSafe(known[theirs]), "left")
         .withColumn(copies, count).where(F.col(copies) > 0)
