@@ -37,6 +37,13 @@ def test_language(spark):
     assert {r.lang_pred for r in language.predict_all(df.where("lang is null")).collect()} == {"und"}
 
 
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"some text {i}", f"l{i % 3}") for i in range(30)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.fit(df)
+
+
 def test_weights_are_sparse_and_temperature_calibrates():
     draw = np.random.default_rng(3)
     rows = [(np.array([i % 2, 10 + draw.integers(500)]), np.array([0.9, 0.4])) for i in range(400)]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.columns import unit_draw
 
 FEATURES = 1 << 15
-#: Documents per language that the weights are fitted on, and languages at most (the most frequent ones).
+#: Documents per language that the weights are fitted on, and languages at most; more are an error.
 SAMPLE = 1000
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
@@ -146,7 +146,9 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
     known = training.where("text is not null and lang is not null")
     frequencies, rows = document_frequencies(known.select("text"))
     idf = np.log((1.0 + rows) / (1.0 + frequencies)) + 1.0
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; none is left out silently")
     languages = sorted(row[0] for row in sizes)
     if not languages:
         return Model([], idf, np.zeros((FEATURES, 0)), 1.0)
