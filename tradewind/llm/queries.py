@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import exact, language, mixing, near, packing, passages, quality, sharding, suffixes, url_rules, whitening
+from tradewind.llm import exact, language, mixing, near, near_vectors, packing, passages, quality, sharding, suffixes, url_rules, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,3 +102,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     each = white.select("vec_id", "whitening.*").withColumn("c", F.explode("coordinates"))
     return each.select("vec_id", "c.component", "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+@query
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
