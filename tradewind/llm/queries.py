@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import exact, language, mixing, near, near_vectors, packing, passages, quality, sharding, suffixes, url_rules, whitening
+from tradewind.llm import exact, language, manifest, mixing, near, near_vectors, packing, passages, quality, sharding, suffixes, url_rules, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,3 +107,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    read = F.when(altered, F.translate("text", capitals, capitals.lower())).otherwise(F.col("text"))
+    return manifest.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": read})
