@@ -60,7 +60,7 @@ def matrix_of(column: pa.Array, dims: int) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     lengths = np.diff(column.offsets.to_numpy())
     if len(lengths) and (lengths == dims).all():
-        return values.reshape(-1, dims)
+        return values.reshape(len(lengths), dims)
     out = np.full((len(lengths), dims), SHIFT, dtype=np.int64)
     out[np.arange(dims)[None, :] < lengths[:, None]] = values
     return out
@@ -231,7 +231,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
             fit = stored(fit.select(F.concat("x", tail).alias("x")).distinct())
     m = moments(fit, dims)
     covariance = m.covariance() if m.n else np.zeros((0, 0))
-    values, unit = axes(covariance, components)
+    values, unit = axes(covariance, components) if len(covariance) else (np.zeros(0), np.zeros((0, 0)))
     trace = float(np.trace(covariance))
     live = values > (values[0] * NO_VARIANCE if len(values) else 0)
     scaled = unit[:, live] / np.sqrt(values[live])
