@@ -18,7 +18,8 @@ from tradewind.operators.dedup import dedup_events
 from tradewind.plans import jobs, orders
 from tradewind.session import durable_folder
 from tradewind.sources.sinks import read_current
-from tradewind.streaming.runner import batch_folder_sink, start_job
+from tradewind.sources.upsert import read_table
+from tradewind.streaming.runner import batch_folder_sink, start_job, upsert_sink
 
 
 def run_to_end(t: Inputs, results: DataFrame, name: str, keys: list[str], mode: str = "append") -> DataFrame:
@@ -116,24 +117,47 @@ def dedup(t: Inputs):
     return run_to_end(t, dedup_events(repeated), "dedup", ["event_type", "event_id"])
 
 
-@query(
-    "t_stream_order_status",
-    """
-    SELECT props AS order_id,
-           CASE WHEN MAX(CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END) = 2
-                THEN 'PAID'
-                WHEN MAX(CASE event_type WHEN 'click' THEN 1 ELSE 0 END) = 1
-                THEN 'RESERVATION_CONFIRMED' ELSE 'PENDING' END AS status
-    FROM events WHERE event_type IN ('signup', 'click', 'purchase') GROUP BY props""",
-)
-def status(t: Inputs):
+# The furthest status of each order in the log and the last time it was reported.
+STATUS = """
+    SELECT order_id, status, MAX(updated_at) AS updated_at FROM (
+      SELECT order_id, updated_at, status, step, MAX(step) OVER (PARTITION BY order_id) AS furthest FROM (
+        SELECT props AS order_id, ts AS updated_at,
+               CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END AS step,
+               CASE event_type WHEN 'purchase' THEN 'PAID' WHEN 'click' THEN 'RESERVATION_CONFIRMED'
+                               ELSE 'PENDING' END AS status
+        FROM events WHERE event_type IN ('signup', 'click', 'purchase')) e) f
+    WHERE step = furthest GROUP BY order_id, status"""
+
+
+def status_log(events: DataFrame) -> DataFrame:
     kind = (
         F.when(F.col("event_type") == "signup", "order.created")
         .when(F.col("event_type") == "click", "inventory.reserved")
         .when(F.col("event_type") == "purchase", "payment.processed")
     )
-    log = t.event_stream.select(
+    return events.select(
         kind.alias("event_type"), F.col("props").alias("order_id"), F.col("ts").alias("event_timestamp")
-    )
-    found = run_to_end(t, orders.order_status(log), "status", ["order_id"], "update")
-    return found.select("order_id", "status")
+    ).filter("event_type is not null")
+
+
+@query("t_stream_order_status", STATUS)
+def status(t: Inputs):
+    return run_to_end(t, orders.order_status(status_log(t.event_stream)), "status", ["order_id"], "update")
+
+
+@query("s10_upsert_across_runs", STATUS)
+def upserts(t: Inputs):
+    """Two streams with a checkpoint each keep one table; then a batch of the first comes once more."""
+    folder = f"{durable_folder(t.spark)}/runs/upsert-{uuid4().hex}"
+    sink = upsert_sink(f"{folder}/table", ["order_id"], "bucket", newest_by="progress", by=F.pmod(F.xxhash64("order_id"), F.lit(8)))
+    progress = F.struct(orders.step_of(F.col("status")), "updated_at").alias("progress")
+    early = t.event_stream.filter("event_type <> 'purchase'")
+    for run, source in enumerate((early, t.event_stream)):
+        found = orders.order_status(status_log(source)).select("*", progress)
+        started = start_job(found, sink, f"upsert-{uuid4().hex}", None, "update", f"{folder}/checkpoint-{run}")
+        started.awaitTermination()
+        if started.exception() is not None:
+            raise started.exception()
+    stale = orders.order_status(status_log(t.events.filter("event_type = 'signup'"))).select("*", progress)
+    sink(stale, 0)
+    return read_table(t.spark, f"{folder}/table").select("order_id", "status", "updated_at")

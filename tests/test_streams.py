@@ -9,7 +9,9 @@ from tradewind.operators.dedup import dedup_events
 from tradewind.plans import jobs
 from tradewind.schemas import RESULT_KEYS
 from tradewind.sources.sinks import merge_source, read_current, write_batch
+from tradewind.sources.files import Folder, run_token
 from tradewind.sources.topics import decode, scan_files, stream_files
+from tradewind.sources.upsert import read_table, upsert
 from tradewind.streaming.runner import batch_folder_sink, start_job
 
 NOON = datetime(2024, 3, 5, 12)
@@ -199,7 +201,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
 
 def test_a_small_batch_is_one_file(spark, tmp_path):
     write_batch(spark.range(100).repartition(20), str(tmp_path / "out"), 0)
-    assert len(list((tmp_path / "out" / "batch_id=0").glob("part-*"))) == 1
+    assert len(list((tmp_path / "out" / "run=r0" / "batch_id=0").glob("part-*"))) == 1
 
 
 def test_empty_batches_write_nothing(spark, topic, tmp_path):
@@ -221,3 +223,72 @@ def test_merge_refuses_rows_that_share_a_key(spark, rows):
     for more in ("a", None):
         with pytest.raises(Exception, match="share the key"):
             merge_source(df.union(spark.createDataFrame([(more, 5)], "k string, v int")), ["k"]).count()
+
+
+def test_a_later_run_wins_whatever_its_batch_ids(spark, topic, tmp_path, rows):
+    topic.send(topic.payment(NOON, 1.0), topic.payment(NOON + timedelta(hours=1)))
+    topic.send(topic.payment(NOON + timedelta(hours=2)))
+    run(revenue(stream_files(spark, topic.path, max_files_per_trigger=1)), tmp_path)
+    topic.send(topic.payment(NOON, 5.0), topic.payment(NOON + timedelta(hours=3)))
+    query = start_job(revenue(stream_files(spark, topic.path)), batch_folder_sink(str(tmp_path / "out")), "again",
+                      trigger=None, checkpoint=str(tmp_path / "second"))
+    query.awaitTermination(120)
+    stored = read_current(spark, str(tmp_path / "out"), ["window_start"])
+    assert [(r[0], r[2]) for r in rows(stored)] == [(NOON, 6.0), (NOON + timedelta(hours=1), 10.0), (NOON + timedelta(hours=2), 10.0)]
+    first, second = (run_token(spark, str(tmp_path / name)) for name in ("checkpoint", "second"))
+    assert first < second and run_token(spark, str(tmp_path / "checkpoint")) == first
+
+
+UPSERTED = "k string, v int, at int, day string"
+
+
+def test_upsert_replaces_the_rows_of_its_keys(spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+
+    def put(*values, **how):
+        upsert(spark.createDataFrame(values, UPSERTED), path, ["k"], "day", **how)
+
+    put(("a", 1, 1, "mon"), ("b", 1, 1, "mon"), (None, 1, 1, None), ("c", 1, 1, "tue"))
+    untouched = Folder(spark, f"{path}/day=tue").names()
+    put(("a", 2, 2, "mon"), ("a", 3, 2, "mon"), (None, 2, 2, None))
+    want = sorted([("a", 2, 2, "mon"), ("a", 3, 2, "mon"), ("b", 1, 1, "mon"), (None, 2, 2, None), ("c", 1, 1, "tue")], key=repr)
+    assert rows(read_table(spark, path)) == want
+    assert Folder(spark, f"{path}/day=tue").names() == untouched
+    put(("a", 2, 2, "mon"), ("a", 3, 2, "mon"), (None, 2, 2, None))
+    assert rows(read_table(spark, path)) == want
+    put(("a", 0, 1, "mon"), ("b", 9, 1, "mon"), ("d", 1, None, "wed"), newest_by="at")
+    want = sorted([*(r for r in want if r[0] != "b"), ("b", 9, 1, "mon"), ("d", 1, None, "wed")], key=repr)
+    assert rows(read_table(spark, path)) == want
+    put(newest_by="at")
+    assert rows(read_table(spark, path)) == want
+
+
+def test_upsert_reads_only_the_partitions_it_touches(spark, tmp_path):
+    path = str(tmp_path / "table")
+    upsert(spark.range(100).selectExpr("id k", "id % 10 day"), path, ["k"], "day")
+    names = {day: Folder(spark, f"{path}/day={day}").names() for day in range(10)}
+    upsert(spark.range(1).selectExpr("id + 3 k", "id + 3 day"), path, ["k"], "day")
+    changed = [day for day in range(10) if Folder(spark, f"{path}/day={day}").names() != names[day]]
+    assert changed == [3] and read_table(spark, path).count() == 100
+
+
+@pytest.mark.parametrize("complete", [True, False])
+def test_upsert_finishes_what_a_dead_writer_began(spark, tmp_path, rows, complete):
+    path = str(tmp_path / "table")
+    upsert(spark.createDataFrame([("a", 1, 1, "mon"), ("b", 1, 1, "tue")], UPSERTED), path, ["k"], "day")
+    staged = spark.createDataFrame([("a", 2, 2, "mon"), ("b", 2, 2, "tue")], UPSERTED)
+    staged.write.partitionBy("day").parquet(f"{path}/_staged/x")
+    if not complete:
+        Folder(spark, f"{path}/_staged/x").remove("_SUCCESS")
+    else:
+        # It died after removing one partition, before moving the new one there.
+        Folder(spark, path).remove("day=mon")
+    upsert(spark.createDataFrame([("c", 1, 1, "wed")], UPSERTED), path, ["k"], "day")
+    value = 2 if complete else 1
+    assert rows(read_table(spark, path)) == [("a", value, value, "mon"), ("b", value, value, "tue"), ("c", 1, 1, "wed")]
+    assert Folder(spark, f"{path}/_staged").names() == []
+
+
+def test_alike_rows_merge_as_one(spark):
+    adds = spark.createDataFrame([("u", "p", 1), ("u", "p", 1), ("v", "p", 1)], "user_id string, product_id string, at int")
+    assert merge_source(adds.distinct(), ["user_id", "product_id", "at"]).count() == 2

@@ -40,6 +40,19 @@ def lacking(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return _matching(left, right, keys, "left_anti")
 
 
+def newest_rows(rows: DataFrame, keys: list[str], age: Column) -> DataFrame:
+    """The rows with the largest ``age`` of their key; all rows that tie stay, nulls in a key equal each other.
+
+    The largest age of a key is a partial aggregate, so only a row for each key and task is shuffled for it,
+    and AQE can split the rows of a hot key in the join.
+    """
+    names = [f"_right_{key}" for key in keys]
+    newest = rows.groupBy(*keys).agg(F.max(age).alias("_newest")).toDF(*names, "_newest")
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in zip(keys, names)]
+    on = [*same, age.eqNullSafe(F.col("_newest")), _always_zero(*keys) == _always_zero(*names)]
+    return rows.join(newest, on, "left_semi")
+
+
 def unmatched_within(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, within: str
 ) -> DataFrame:

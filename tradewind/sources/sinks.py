@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tradewind.operators.joins import newest_rows
 from tradewind.schemas import DEAD_LETTER_TOPIC
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
@@ -55,23 +56,24 @@ def write_jdbc(df: DataFrame, connection: dict[str, str], table: str, mode: str,
     )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store one micro-batch; storing the same batch again replaces it.
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str = "r0") -> None:
+    """Store one micro-batch of a run; storing the same batch again replaces it.
 
-    Rebalancing merges the batch's many small state partitions into files of a sensible size.
+    Batch ids begin at 0 with each new checkpoint, so ``run`` keeps the batches of a later checkpoint apart
+    and in order (``files.run_token``). Rebalancing merges the batch's many small state partitions into files
+    of a sensible size.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The stored rows with, per key, only those of the latest batch that has the key.
+    """The stored rows with, per key, only those of the latest batch of the latest run that has the key.
 
-    All rows that share a key within that batch stay; nulls in a key equal each other.
+    All rows that share a key within that batch stay; nulls in a key equal each other. For a table that is
+    read often, ``upsert`` keeps the current rows only.
     """
     stored = spark.read.option("basePath", path).parquet(path)
-    newest = F.max(BATCH).over(Window.partitionBy(*keys))
-    ranked = stored.withColumn("_newest", newest)
-    return ranked.filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
+    return newest_rows(stored, keys, F.struct(RUN, BATCH)).drop(RUN, BATCH)
 
 
 def merge_source(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,9 +87,10 @@ def merge_source(df: DataFrame, keys: list[str]) -> DataFrame:
 def merge_into(df: DataFrame, table: str, keys: list[str]) -> None:
     """Update or insert by key in a catalog table whose format supports row-level MERGE.
 
-    Keys are compared null-safe. Several rows with one key are an error: a table by key can hold only one.
+    Keys are compared null-safe. Rows that are alike in all columns are one row. Several different rows with
+    one key are an error: a table by key can hold only one.
     """
-    source = merge_source(df, keys).alias("source")
+    source = merge_source(df.distinct(), keys).alias("source")
     same_row = [F.col(f"source.{key}").eqNullSafe(F.col(f"{table}.{key}")) for key in keys]
     condition = same_row[0]
     for part in same_row[1:]:

@@ -3,22 +3,53 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.schemas import RESULT_KEYS, conform
 from tradewind.session import durable_folder
+from tradewind.sources.files import run_token
 from tradewind.sources.sinks import merge_into, write_batch
+from tradewind.sources.upsert import upsert
 
 Sink = Callable[[DataFrame, int], None]
 
 
+@dataclass(frozen=True)
+class BatchFolderSink:
+    """One folder per run and batch; ``start_job`` names the run after its checkpoint."""
+
+    path: str
+    table: str | None = None
+    run: str = "r0"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        write_batch(conform(batch, self.table) if self.table else batch, self.path, batch_id, self.run)
+
+
 def batch_folder_sink(path: str, table: str | None = None) -> Sink:
     """A sink with one folder per batch, stored with the declared types of ``table`` if named."""
+    return BatchFolderSink(path, table)
+
+
+def upsert_sink(
+    path: str,
+    keys: list[str],
+    partition: str,
+    table: str | None = None,
+    newest_by: str | None = None,
+    by: Column | None = None,
+) -> Sink:
+    """A sink that keeps a Parquet table by key; see ``upsert``.
+
+    ``by`` computes the column ``partition`` from the key, if the rows do not have it.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(conform(batch, table) if table else batch, path, batch_id)
+        rows = conform(batch, table) if table else batch
+        upsert(rows if by is None else rows.withColumn(partition, by), path, keys, partition, newest_by)
 
     return store
 
@@ -49,6 +80,10 @@ def start_job(
     kept for the emptiness check and the write, so its plan runs once.
     """
 
+    folder = checkpoint or f"{durable_folder(results.sparkSession)}/streams/{name}"
+    if isinstance(sink, BatchFolderSink):
+        sink = replace(sink, run=run_token(results.sparkSession, folder))
+
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -57,7 +92,6 @@ def start_job(
         finally:
             batch.unpersist()
 
-    folder = checkpoint or f"{durable_folder(results.sparkSession)}/streams/{name}"
     writer = (
         results.writeStream.queryName(name)
         .foreachBatch(deliver)
