@@ -121,6 +121,10 @@ class Inputs:
 
     @cached_property
     def cart_log(self) -> DataFrame:
+        return self.as_cart_log(self.events)
+
+    @staticmethod
+    def as_cart_log(events: DataFrame) -> DataFrame:
         kind = (
             F.when(F.col("event_type") == "click", "cart.item_added")
             .when(F.col("event_type") == "signup", "cart.item_removed")
@@ -129,7 +133,7 @@ class Inputs:
         )
         k = F.get_json_object("props", "$.k").cast("int")
         # Few products, so that a user meets the same one again.
-        return self.events.select(
+        return events.select(
             "event_id",
             kind.alias("event_type"),
             F.col("user_id").cast("string").alias("user_id"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from checks.event_state import CARTS, CARTS_AS_OF, GREEDY
 from checks.inputs import Inputs, scaled_alerts
 from checks.jobs import with_details
 from checks.registry import query
@@ -16,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tradewind.operators.dedup import dedup_events
 from tradewind.plans import jobs, orders
-from tradewind.session import durable_folder
+from tradewind.session import durable_folder, stored
 from tradewind.sources.sinks import read_current
 from tradewind.sources.upsert import read_table
+from tradewind.streaming.order_state import order_status_changes
+from tradewind.streaming.reservations import reserve_as_they_come
 from tradewind.streaming.runner import batch_folder_sink, start_job, upsert_sink
+from tradewind.streaming.stateful import cart_changes
 
 
 def run_to_end(t: Inputs, results: DataFrame, name: str, keys: list[str], mode: str = "append") -> DataFrame:
@@ -161,3 +165,62 @@ def upserts(t: Inputs):
     stale = orders.order_status(status_log(t.events.filter("event_type = 'signup'"))).select("*", progress)
     sink(stale, 0)
     return read_table(t.spark, f"{folder}/table").select("order_id", "status", "updated_at")
+
+
+@query("t_stream_order_machine", STATUS)
+def machine(t: Inputs):
+    """A table of orders opens the state; the stream then brings what happened since."""
+    known = stored(orders.order_status(status_log(t.events.filter("event_type = 'signup'"))))
+    later = status_log(t.event_stream.filter("event_type <> 'signup'"))
+    folder = f"{durable_folder(t.spark)}/runs/machine-{uuid4().hex}"
+    table = upsert_sink(f"{folder}/table", ["order_id"], "bucket", by=F.pmod(F.xxhash64("order_id"), F.lit(8)))
+    table(known, 0)
+    started = start_job(order_status_changes(later, known), table, f"machine-{uuid4().hex}", None, "update", f"{folder}/checkpoint")
+    started.awaitTermination()
+    if started.exception() is not None:
+        raise started.exception()
+    return read_table(t.spark, f"{folder}/table").drop("bucket")
+
+
+@query(
+    "t_stream_current_carts",
+    f"""{CARTS}
+    SELECT user_id, product_id, quantity, price, quantity * price AS item_total, last_update
+    FROM carts""",
+)
+def current_carts(t: Inputs):
+    """Every change of a cart replaces it in a table; carts that are empty or run out are left out."""
+    until = t.event_stream.filter(F.col("ts") <= F.lit(CARTS_AS_OF).cast("timestamp"))
+    folder = f"{durable_folder(t.spark)}/runs/carts-{uuid4().hex}"
+    table = upsert_sink(f"{folder}/table", ["user_id"], "bucket", by=F.pmod(F.xxhash64("user_id"), F.lit(8)))
+    started = start_job(cart_changes(t.as_cart_log(until)), table, f"carts-{uuid4().hex}", None, "update", f"{folder}/checkpoint")
+    started.awaitTermination()
+    if started.exception() is not None:
+        raise started.exception()
+    living = F.col("last_update") + F.expr("INTERVAL 24 HOURS") > F.lit(CARTS_AS_OF).cast("timestamp")
+    return read_table(t.spark, f"{folder}/table").filter(F.col("product_id").isNotNull() & living).drop("bucket")
+
+
+@query(
+    "t_stream_reserve_greedy",
+    f"""SELECT product_id, id, amount, event_timestamp, quantity, accepted FROM ({GREEDY}) g
+    WHERE event_timestamp <= (SELECT MAX(created_at) - INTERVAL 800 DAYS FROM lines)""",
+)
+def reservations(t: Inputs):
+    """Requests come in four parts whose times overlap by a year, with a restart after two of them."""
+    folder = f"{durable_folder(t.spark)}/runs/reserve-{uuid4().hex}"
+    requests = t.lines.select(
+        "product_id", "id", "amount", F.col("created_at").alias("event_timestamp"), "quantity"
+    )
+    year = F.year("event_timestamp") - 1992 + F.pmod(F.xxhash64("id"), F.lit(2))
+    parts = stored(requests.withColumn("part", F.least(F.lit(3), F.floor(year / 2)).cast("int")))
+    for part in range(4):
+        parts.filter(F.col("part") == part).drop("part").write.parquet(f"{folder}/in/part={part}")
+        if part in (1, 3):
+            source = t.spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+            decided = reserve_as_they_come(source, t.products, ("id", "amount"), "800 days")
+            started = start_job(decided, batch_folder_sink(f"{folder}/out"), f"reserve-{uuid4().hex}", None, "append", f"{folder}/checkpoint")
+            started.awaitTermination()
+            if started.exception() is not None:
+                raise started.exception()
+    return t.spark.read.parquet(f"{folder}/out").drop("run", "batch_id").withColumn("quantity", F.col("quantity").cast("int"))
