@@ -2,6 +2,7 @@
 
 from checks.inputs import AS_OF, Inputs
 from checks.registry import query
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tradewind.plans import dead_letters as d
@@ -67,42 +68,53 @@ RECORD = T.StructType(
 )
 
 
+RECORDS = """
+    WITH judged AS (
+      SELECT 'e' || event_id AS record, event_type AS topic, CAST(event_id AS VARCHAR) AS event_id, event_type,
+             props AS payload, NULL AS value, NULL AS error_type, NULL AS error_reason
+      FROM events
+      UNION ALL SELECT 'l' || doc_id, 'labels', CAST(doc_id AS VARCHAR), NULL, NULL, '{"event_id":"' || doc_id || '"}',
+                       'ValidationError', 'missing event_type'
+      FROM labels
+      UNION ALL SELECT 'c' || conv_id || '-' || turn, 'chat', NULL, NULL, NULL, text, 'JSONDecodeError',
+                       'not a JSON object of this schema'
+      FROM conversations)"""
+
+
 @query(
     "d4_split_valid",
-    """
-    SELECT 'e' || event_id AS record, 'valid' AS verdict, NULL AS error_type,
-           length(props) AS characters FROM events
-    UNION ALL SELECT 'l' || doc_id, 'rejected', 'ValidationError', length('{"event_id":"' || doc_id || '"}')
-    FROM labels
-    UNION ALL SELECT 'c' || conv_id || '-' || turn, 'rejected', 'JSONDecodeError', length(text)
-    FROM conversations""",
+    f"""{RECORDS}
+    SELECT *, CAST(NULL AS VARCHAR) AS correlation_id FROM judged""",
 )
 def split(t: Inputs):
     valid, rejected = d.split_valid(raw_records(t), RECORD)
-    return valid.select(
-        "record", F.lit("valid").alias("verdict"), F.lit(None).cast("string").alias("error_type"),
-        F.length("payload").alias("characters"),
-    ).unionByName(
-        rejected.select("record", F.lit("rejected").alias("verdict"), "error_type", F.length("value").alias("characters"))
-    )
+    return valid.unionByName(rejected, allowMissingColumns=True)
 
 
 @query(
-    "d5_to_dlq",
+    "d4_counts",
     """
-    SELECT 'labels' AS original_topic, CAST(doc_id AS VARCHAR) AS event_id,
-           'missing event_type' AS error_reason, 'ValidationError' AS error_type, 3 AS retry_count,
-           '{"event_id":"' || doc_id || '"}' AS payload, 1706644800.0::DOUBLE AS timestamp
-    FROM labels
-    UNION ALL
-    SELECT 'chat', NULL, 'not a JSON object of this schema', 'JSONDecodeError', 3, text,
-           1706644800.0::DOUBLE
-    FROM conversations""",
+    SELECT (SELECT COUNT(*) FROM events) AS valid,
+           (SELECT COUNT(*) FROM labels) + (SELECT COUNT(*) FROM conversations) AS rejected""",
+)
+def counts(t: Inputs):
+    """The counts that come with the split, without another pass."""
+    seen = Observation()
+    d.split_valid(raw_records(t), RECORD, seen)
+    return t.spark.createDataFrame([(seen.get["valid"], seen.get["rejected"])], "valid long, rejected long")
+
+
+@query(
+    "d5_to_dlq",
+    f"""{RECORDS}
+    SELECT topic AS original_topic, event_type AS original_event_type, event_id, CAST(NULL AS VARCHAR) AS correlation_id,
+           error_reason, error_type, 3 AS retry_count, value AS payload, 1706644800.0::DOUBLE AS timestamp
+    FROM judged WHERE error_type IS NOT NULL""",
 )
 def build(t: Inputs):
     stamped = raw_records(t).withColumn("timestamp", F.lit("2024-01-30 20:00:00").cast("timestamp"))
     _, rejected = d.split_valid(stamped, RECORD)
-    return d.to_dlq(rejected).drop("correlation_id", "original_event_type")
+    return d.to_dlq(rejected)
 
 
 @query(

@@ -278,14 +278,18 @@ def first(t: Inputs):
     "r14_fulfilment_candidates",
     f"""
     SELECT 'EVT-' || upper(substr(sha256('order.fulfilled|' || order_id), 1, 12)) AS event_id,
-           'order.fulfilled' AS event_type, order_id, user_id,
-           'TRK-' || right(order_id, 8) AS tracking_number
+           'order.fulfilled' AS event_type,
+           CASE WHEN rank = 1 THEN 'COR-' || upper(substr(sha256(order_id), 1, 12)) ELSE 'saga-' || id END AS correlation_id,
+           strftime(TIMESTAMP '{ORDERS_AS_OF}', '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp, order_id, user_id,
+           'TRK-' || right(order_id, 8) AS tracking_number,
+           strftime(TIMESTAMP '{ORDERS_AS_OF}', '%Y-%m-%dT%H:%M:%S.%f+00:00') AS shipped_at
     FROM shop_orders
     WHERE status = 'PAID' AND updated_at <= TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 5 SECONDS
     ORDER BY updated_at, order_id LIMIT 10""",
 )
 def candidates(t: Inputs):
-    return orders.fulfilment_candidates(t.orders, ORDERS_AS_OF).drop("shipped_at")
+    saga = F.when(~F.startswith("priority", F.lit("1")), F.concat(F.lit("saga-"), "id"))
+    return orders.fulfilment_candidates(t.orders.withColumn("correlation_id", saga), ORDERS_AS_OF)
 
 
 @query(

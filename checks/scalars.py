@@ -129,15 +129,22 @@ def text(t: Inputs):
       SELECT id, user_id, CASE status WHEN 'FULFILLED' THEN 'order.fulfilled' ELSE 'order.confirmed'
                           END, order_id, NULL
       FROM shop_orders WHERE rank <= 3
+      UNION ALL SELECT 'x' || id, NULL, 'order.cancelled', order_id, NULL FROM shop_orders WHERE rank = 1
       UNION ALL SELECT id, NULL, CASE WHEN stock = 0 THEN 'inventory.depleted' ELSE 'inventory.low'
                                  END, product_id, NULL
       FROM products WHERE stock < 10)
-    SELECT event_id, COALESCE(user_id, 'unknown') AS user_id,
-           CASE WHEN kind LIKE 'order.%' THEN user_id || '@example.com' ELSE 'admin@example.com' END
-             AS recipient_email,
+    SELECT event_id, 'notification.send' AS event_type, '2024-02-01T00:00:00.000000+00:00' AS timestamp,
+           'C' || event_id AS correlation_id, COALESCE(user_id, 'unknown') AS user_id,
+           CASE WHEN kind NOT LIKE 'order.%' THEN 'admin@example.com'
+                ELSE COALESCE(user_id || '@example.com', 'unknown@example.com') END AS recipient_email,
            kind AS notification_type,
+           CASE WHEN event_id LIKE '%7' THEN '{"email_sent":"false","success":"false","processed":"true"}'
+                ELSE '{"email_sent":"true","success":"true","processed":"true"}' END AS data,
+           CASE WHEN kind = 'order.fulfilled' THEN COALESCE('TRK-' || event_id, 'N/A') END AS tracking_number,
+           CASE WHEN kind = 'order.cancelled' THEN COALESCE(cause, 'Unknown reason') END AS reason,
            CASE WHEN cause = 'payment_failed' THEN 'Order Cancelled - Payment Failed #' || about
                 WHEN cause = 'inventory_depleted' THEN 'Order Cancelled - Out of Stock #' || about
+                WHEN kind = 'order.cancelled' THEN 'Order Cancelled #' || about
                 WHEN kind = 'order.fulfilled' THEN 'Your Order is On the Way! Order #' || about
                 WHEN kind = 'order.confirmed' THEN 'Order Confirmed #' || about
                 WHEN kind = 'inventory.low' THEN 'Low Stock Alert: Product #' || about
@@ -160,11 +167,16 @@ def mails(t: Inputs):
         F.when(F.col("stock") == 0, "inventory.depleted").otherwise("inventory.low").alias("event_type"),
         none.alias("cancellation_source"),
     )
-    events = cancelled.unionByName(paid).unionByName(low)
-    for absent in ("correlation_id", "tracking_number", "reason"):
-        events = events.withColumn(absent, none)
-    mailed = notifications(events, "admin@example.com")
-    return mailed.select("event_id", "user_id", "recipient_email", "notification_type", "subject")
+    nobody = t.orders.filter(F.startswith("priority", F.lit("1"))).select(
+        F.concat(F.lit("x"), "id").alias("event_id"), none.alias("user_id"), "order_id", none.alias("product_id"),
+        F.lit("order.cancelled").alias("event_type"), none.alias("cancellation_source"),
+    )
+    events = cancelled.unionByName(paid).unionByName(low).unionByName(nobody).select(
+        "*", F.concat(F.lit("C"), "event_id").alias("correlation_id"), F.concat(F.lit("TRK-"), "event_id").alias("tracking_number"),
+        F.col("cancellation_source").alias("reason"),
+    )
+    mailed = notifications(events, "admin@example.com", "2024-02-01 00:00:00", ~F.endswith("event_id", F.lit("7")))
+    return mailed.withColumn("data", F.to_json("data"))
 
 
 @query(

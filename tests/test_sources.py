@@ -95,6 +95,27 @@ def test_split_valid_gives_reasons_and_keeps_everything(spark):
     assert reasons[3][0] == reasons[4][0] == "JSONDecodeError"
     letters = dead_letters.to_dlq(rejected.withColumnRenamed("received", "timestamp")).collect()
     assert {r.original_topic for r in letters} == {"payment.failed"} and letters[0].retry_count == 3
+    assert sorted((r.event_id, r.original_event_type, r.correlation_id) for r in letters if r.event_id) == [("1", "payment.failed", "c")] * 2
+
+
+def test_split_valid_parses_once(spark):
+    plan = dead_letters.judged(envelope(spark, "{}"), schema_for("payment.failed"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+
+
+def test_published_events_are_valid(spark):
+    """What this library publishes passes its own validation."""
+    paid = spark.createDataFrame(
+        [("o1", "u", None, "PAID", datetime(2024, 3, 5)), ("o2", "u", "c", "PAID", datetime(2024, 3, 5))],
+        "order_id string, user_id string, correlation_id string, status string, updated_at timestamp",
+    )
+    shipped = orders.fulfilment_candidates(paid, "2024-03-06 00:00:00")
+    told = shipped.select("*", *[F.lit(None).cast("string").alias(name) for name in ("product_id", "cancellation_source", "reason")])
+    mailed = notifications.notifications(told, "admin@example.com")
+    for events, topic in ((shipped, "order.fulfilled"), (mailed, "notification.send")):
+        records = events.select(F.lit(topic).alias("topic"), F.to_json(F.struct("*")).alias("value"))
+        valid, rejected = dead_letters.split_valid(records, schema_for(topic))
+        assert (valid.count(), rejected.count()) == (2, 0)
 
 
 def test_replay_leaves_out_what_was_replayed(spark, rows):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,7 @@ from tradewind.functions.scalars import label, parse_time, preview, service_of
 from tradewind.functions.timing import Instant, within_last
 from tradewind.operators.joins import lacking, zero_filled
 from tradewind.operators.ranking import highest
+from tradewind.session import stored
 
 # ---- fixed values ---------------------------------------------------------------------------
 SERVICES = ["cart", "order", "payment", "inventory", "notification"]
@@ -27,20 +28,26 @@ TOP_BAND = "CRITICAL"
 _CORRUPT = "_corrupt"
 
 
-def split_valid(raw: DataFrame, schema: T.StructType, event_type: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Parse ``value`` and split the rows into valid and rejected ones.
+#: What a rejected record tells about itself, if it can be read at all.
+_IDENTITY = ("event_id", "event_type", "correlation_id")
 
-    Rejected are records that are no JSON object of this schema, records without a field the
-    schema requires, and records whose ``timestamp`` is no time. The other columns of ``raw``
-    stay with both; rejected rows keep their text and get ``error_type`` and ``error_reason``.
+
+def judged(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Each row of ``raw`` with its ``value`` as text, the parsed ``event``, error_type and error_reason.
+
+    Records that are no JSON object of this schema, records without a field the schema requires, and records
+    whose ``timestamp`` is no time have an error; the others have nulls there. ``event`` also holds the ids
+    that a dead letter names, so that a record is parsed once.
     """
     others = [column for column in raw.columns if column != "value"]
+    extra = [T.StructField(name, T.StringType()) for name in _IDENTITY if name not in schema.names]
+    text = F.col("value").cast("string")
     parsed = raw.select(
         *others,
-        F.col("value").cast("string").alias("value"),
+        text.alias("value"),
         F.from_json(
-            F.col("value").cast("string"),
-            T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())]),
+            text,
+            T.StructType([*schema.fields, *extra, T.StructField(_CORRUPT, T.StringType())]),
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
         ).alias("event"),
     )
@@ -64,19 +71,32 @@ def split_valid(raw: DataFrame, schema: T.StructType, event_type: str | None = N
         F.when(unreadable, F.lit(NOT_PARSED))
         .when(F.col("error_reason").isNotNull(), F.lit(NOT_VALID))
     )
-    judged = parsed.withColumn("error_reason", reason).withColumn("error_type", kind)
-    valid = judged.filter("error_reason is null").select(
-        *others, *[F.col(f"event.{name}").alias(name) for name in schema.names]
-    )
-    rejected = judged.filter("error_reason is not null").select(
+    return parsed.withColumn("error_reason", reason).withColumn("error_type", kind)
+
+
+def split_valid(
+    raw: DataFrame, schema: T.StructType, counts: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Parse ``value`` and split the rows into valid and rejected ones; see ``judged``.
+
+    The other columns of ``raw`` stay with both; rejected rows keep their text and get ``error_type``,
+    ``error_reason`` and the ids they name. ``raw`` is read and parsed once, into a stored table that both
+    results read; in a stream, call this on each micro-batch. ``counts`` receives the numbers of ``valid`` and
+    ``rejected`` rows on the way.
+    """
+    others = [column for column in raw.columns if column != "value"]
+    rows = judged(raw, schema)
+    is_valid = F.col("error_reason").isNull()
+    if counts is not None:
+        rows = rows.observe(counts, F.count_if(is_valid).alias("valid"), F.count_if(~is_valid).alias("rejected"))
+    rows = stored(rows)
+    valid = rows.filter(is_valid).select(*others, *[F.col(f"event.{name}").alias(name) for name in schema.names])
+    rejected = rows.filter(~is_valid).select(
         *others,
         "value",
         "error_type",
         "error_reason",
-        *[
-            F.get_json_object("value", f"$.{name}").alias(name)
-            for name in ("event_id", "event_type", "correlation_id")
-        ],
+        *[F.col(f"event.{name}").cast("string").alias(name) for name in _IDENTITY],
     )
     return valid, rejected
 

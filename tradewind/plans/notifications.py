@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.scalars import label
+from tradewind.functions.scalars import iso_text, label
+from tradewind.functions.timing import Instant, instant
 
 # ---- fixed values ---------------------------------------------------------------------------
 NOTIFIED_TYPES = (
@@ -16,6 +17,8 @@ NOTIFIED_TYPES = (
     "inventory.depleted",
 )
 CUSTOMER_DOMAIN = "example.com"
+NO_RECIPIENT = "unknown@example.com"
+SENT_TYPE = "notification.send"
 SUBJECTS = {
     "order.confirmed": "Order Confirmed #%s",
     "order.fulfilled": "Your Order is On the Way! Order #%s",
@@ -45,22 +48,33 @@ def _subject() -> Column:
     return subject
 
 
-def notifications(events: DataFrame, admin_email: str) -> DataFrame:
-    """One ``notification.send`` row per event that is worth a mail.
+def _text(flag: Column) -> Column:
+    return F.when(flag, "true").otherwise("false")
 
-    Order events go to the customer, stock events to the administrator. Sending is left to
-    whoever reads the topic.
+
+def notifications(
+    events: DataFrame, admin_email: str, as_of: Instant | None = None, sent: Column | None = None
+) -> DataFrame:
+    """One ``notification.send`` event per event that is worth a mail.
+
+    Order events go to the customer, stock events to the administrator; without either, the recipient is a
+    fixed unknown one. Mails are sent by others: ``sent`` says for which rows that worked (null: it did not;
+    by default it did) and is told in ``data``. The time is ``as_of``, else now.
     """
     to_customer = F.startswith(F.col("event_type"), F.lit("order."))
-    recipient = F.when(
-        to_customer, F.concat(F.col("user_id"), F.lit(f"@{CUSTOMER_DOMAIN}"))
-    ).otherwise(F.lit(admin_email))
+    address = F.when(to_customer, F.concat(F.col("user_id"), F.lit(f"@{CUSTOMER_DOMAIN}"))).otherwise(F.lit(admin_email))
+    recipient = F.coalesce(address, F.lit(NO_RECIPIENT))
+    worked = _text(F.lit(True) if sent is None else F.coalesce(sent, F.lit(False)))
+    now = F.current_timestamp() if as_of is None else instant(as_of)
     return events.filter(F.col("event_type").isin(list(NOTIFIED_TYPES))).select(
         "event_id",
+        F.lit(SENT_TYPE).alias("event_type"),
+        iso_text(now).alias("timestamp"),
         "correlation_id",
         label("user_id", "unknown").alias("user_id"),
         recipient.alias("recipient_email"),
         F.col("event_type").alias("notification_type"),
+        F.create_map(F.lit("email_sent"), worked, F.lit("success"), worked, F.lit("processed"), F.lit("true")).alias("data"),
         _subject().alias("subject"),
         F.when(
             F.col("event_type") == "order.fulfilled", label("tracking_number", "N/A")

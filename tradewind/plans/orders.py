@@ -186,12 +186,17 @@ def publish_outbox(outbox: DataFrame, as_of: Instant) -> tuple[DataFrame, DataFr
 def fulfilment_candidates(
     orders: DataFrame, as_of: Instant, delay: str = "5 seconds", n: int = 10
 ) -> DataFrame:
-    """Fulfilment events for the ``n`` orders that have been paid longest, at least ``delay`` ago."""
+    """Fulfilment events for the ``n`` orders that have been paid longest, at least ``delay`` ago.
+
+    An event carries the correlation id of its order; an order without one gets an id derived from its own.
+    """
     ripe = (F.col("status") == "PAID") & (F.col("updated_at") <= instant(as_of) - interval(delay))
     chosen = orders.filter(ripe).orderBy("updated_at", "order_id").limit(n)
     return chosen.select(
         derived_id("EVT-", F.lit("order.fulfilled"), "order_id").alias("event_id"),
         F.lit("order.fulfilled").alias("event_type"),
+        F.coalesce("correlation_id", derived_id("COR-", "order_id")).alias("correlation_id"),
+        iso_text(instant(as_of)).alias("timestamp"),
         "order_id",
         "user_id",
         tracking_number("order_id").alias("tracking_number"),
