@@ -8,6 +8,7 @@ from checks import (  # noqa: F401
     kpis,
     metrics,
     scalars,
+    sketches,
     streams,
 )
 from checks.registry import QUERIES, SQL
