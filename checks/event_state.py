@@ -1,11 +1,15 @@
 """Order log, carts and stock."""
 
+from uuid import uuid4
+
 from checks.inputs import ORDERS_AS_OF, Inputs
 from checks.registry import query
 from pyspark.sql import functions as F
 from tradewind.operators.dedup import dedup_events
 from tradewind.operators.joins import not_yet_processed
 from tradewind.plans import carts, orders, stock
+from tradewind.session import durable_folder
+from tradewind.sources.outbox import publish_pending
 from tradewind.sources.sinks import to_topic
 
 CARTS_AS_OF = "2024-01-20 12:00:00"
@@ -260,6 +264,34 @@ def outbox_marked(t: Inputs):
     return marked.select("id", "order_id", "event_type", "published", "published_at")
 
 
+@query(
+    "r12_publish_after_a_crash",
+    """
+    SELECT event_type AS topic, order_id AS key, event_data AS value, 'Y' AS published
+    FROM outbox WHERE published = 'N'""",
+)
+def outbox_crash(t: Inputs):
+    """The first publisher dies after sending; the second one sees more pending rows. Each row is sent once."""
+    folder = f"{durable_folder(t.spark)}/runs/outbox-{uuid4().hex}"
+
+    def send(records, name):
+        records.write.mode("overwrite").parquet(f"{folder}/topic/batch={name}")
+
+    def send_and_die(records, name):
+        send(records, name)
+        raise InterruptedError
+
+    try:
+        publish_pending(t.outbox.filter("event_type = 'click'"), f"{folder}/outbox", send_and_die, "2024-02-01 00:00:00")
+    except InterruptedError:
+        pass
+    publish_pending(t.outbox, f"{folder}/outbox", send, "2024-02-01 00:00:00")
+    marked = publish_pending(t.outbox, f"{folder}/outbox", send, "2024-02-01 00:00:00")
+    sent = t.spark.read.parquet(f"{folder}/topic").drop("batch")
+    # Every record sent has its row marked: orders are unique here.
+    return sent.join(marked.select(F.col("order_id").alias("key"), "published"), "key", "left").select("topic", "key", "value", "published")
+
+
 @query(
     "r13_first_payment",
     """

@@ -3,6 +3,7 @@
 from checks.inputs import Inputs
 from checks.registry import query
 from pyspark.sql import functions as F
+from tradewind.operators.slices import as_of_values
 from tradewind.plans import orders, samples
 
 
@@ -219,3 +220,42 @@ def matching(t: Inputs):
     counted = t.samples.filter("metric = 'events_total'")
     found = samples.label_matches(counted, "event_type", "c.*|p.*")
     return found.groupBy(samples.label_of("event_type")).agg(F.count("*").alias("n"))
+
+
+_SERIES = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id % 40 END"
+
+
+@query(
+    "m9_as_of_values",
+    f"""
+    WITH points AS (SELECT {_SERIES} AS k, ts, event_id FROM events WHERE event_type = 'click'
+                    UNION ALL SELECT {_SERIES}, ts, -event_id FROM events WHERE event_type = 'purchase'),
+    told AS (SELECT {_SERIES} AS k, ts, max(event_id) AS sample_id, arg_max(value, event_id) AS value FROM events
+                WHERE event_type = 'purchase' AND {_SERIES} <> 7 GROUP BY 1, 2)
+    SELECT k, event_id, ts, CASE WHEN fresh THEN sampled_at END AS as_of_ts, CASE WHEN fresh THEN sample_id END AS as_of_sample_id,
+           CASE WHEN fresh THEN value END AS as_of_value
+    FROM (SELECT p.*, s.ts AS sampled_at, s.sample_id, s.value, p.ts <= s.ts + INTERVAL 2 HOURS AS fresh
+          FROM points p ASOF LEFT JOIN told s ON p.k = s.k AND p.ts >= s.ts) f""",
+)
+def as_of(t: Inputs):
+    """The last purchase of a series at or before each click and at each purchase itself; one series is hot."""
+    series = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id") % 40).alias("k")
+    bought = t.events.filter("event_type = 'purchase'")
+    points = t.events.filter("event_type = 'click'").select(series, "event_id", "ts").union(bought.select(series, -F.col("event_id"), "ts"))
+    sampled = bought.select(series, "ts", F.col("event_id").alias("sample_id"), "value").filter("k <> 7")
+    return as_of_values(points, sampled, ["k"], "ts", ["sample_id", "value"], "2 hours", ["sample_id"])
+
+
+@query(
+    "j9_aligned_series",
+    """
+    WITH grid AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-28', INTERVAL 25 MINUTES)) AS ts),
+    point AS (SELECT g.ts, e.event_type FROM grid g, (SELECT DISTINCT event_type FROM samples) e)
+    SELECT p.ts, p.event_type, CASE WHEN p.ts <= s.ts + INTERVAL 90 MINUTES THEN s.events_total END AS events_total,
+           CASE WHEN p.ts <= s.ts + INTERVAL 90 MINUTES THEN s.value_sum END AS value_sum
+    FROM point p ASOF LEFT JOIN samples s ON p.event_type = s.event_type AND p.ts >= s.ts""",
+)
+def aligned(t: Inputs):
+    """Two metrics side by side on one grid of times, each with its last sample of the last 90 minutes."""
+    found = samples.aligned(t.samples, ["events_total", "value_sum"], "event_type", "2024-01-02", "2024-01-28", "25 minutes", "90 minutes")
+    return found

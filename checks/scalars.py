@@ -1,5 +1,7 @@
 """Scalar expressions, source views and joins that the larger queries do not show on their own."""
 
+from uuid import uuid4
+
 from checks.inputs import AS_OF, Inputs
 from checks.registry import query
 from pyspark.sql import functions as F
@@ -7,7 +9,8 @@ from tradewind.functions import scalars as s
 from tradewind.operators.joins import contained_in, unmatched_within, zero_filled
 from tradewind.plans.notifications import notifications
 from tradewind.schemas import conform
-from tradewind.sources.topics import decode, topic_depth
+from tradewind.session import durable_folder
+from tradewind.sources.topics import Progress, decode, scan_files, topic_depth
 
 
 @query(
@@ -21,6 +24,32 @@ def depth(t: Inputs):
     return topic_depth(t.envelope)
 
 
+@query(
+    "s5_two_scans",
+    """
+    SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", event_id AS "offset",
+           CASE WHEN event_id < 5000 THEN 1 ELSE 2 END AS scan
+    FROM events""",
+)
+def scans(t: Inputs):
+    """A scan, records that come meanwhile, a scan that dies, and one more: each record is taken once."""
+    folder = f"{durable_folder(t.spark)}/runs/scans-{uuid4().hex}"
+    place = ["topic", "partition", "offset"]
+    early, late = F.col("offset") < 5000, F.col("offset") >= 5000
+    t.envelope.filter(early).write.parquet(f"{folder}/in")
+    first = Progress(t.spark, f"{folder}/progress")
+    taken = first.take(scan_files(t.spark, f"{folder}/in"))
+    t.envelope.filter(late).write.mode("append").parquet(f"{folder}/in")
+    taken.select(*place, F.lit(1).alias("scan")).write.parquet(f"{folder}/out/1")
+    first.done()
+    Progress(t.spark, f"{folder}/progress").take(scan_files(t.spark, f"{folder}/in"))
+    second = Progress(t.spark, f"{folder}/progress")
+    second.take(scan_files(t.spark, f"{folder}/in")).select(*place, F.lit(2).alias("scan")).write.parquet(f"{folder}/out/2")
+    second.done()
+    third = Progress(t.spark, f"{folder}/progress").take(scan_files(t.spark, f"{folder}/in")).select(*place, F.lit(3).alias("scan"))
+    return t.spark.read.parquet(f"{folder}/out/1", f"{folder}/out/2").union(third)
+
+
 @query(
     "s15_decode_payments",
     """

@@ -279,3 +279,62 @@ def test_outbox_is_published_and_marked(spark):
     records, marked = orders.publish_outbox(outbox, NOON)
     assert [(r.topic, r.key, r.value) for r in records.collect()] == [("order.created", "o", "{}")]
     assert [(r.id, r.published, r.published_at) for r in marked.collect()] == [("1", "Y", NOON)]
+
+
+def test_offset_ranges(spark, tmp_path, rows):
+    df = envelope(spark, *"abcdef")
+    ranged = topics.between(df, {"payment.processed": {0: 2}, "other": {0: 99}}, {"payment.processed": {0: 5}})
+    assert [r.offset for r in ranged.orderBy("offset").collect()] == [2, 3, 4]
+    assert topics.between(df, None, {}).count() == 0 and topics.between(df, {}, None).count() == 6
+    plan = topics.between(df, {"payment.processed": {0: 2}})
+    plan.write.parquet(str(tmp_path / "in"))
+    scan = topics.between(topics.scan_files(spark, str(tmp_path / "in")), {"payment.processed": {0: 3}})
+    assert "PushedFilters: []" not in scan._jdf.queryExecution().executedPlan().toString() and scan.count() == 3
+
+
+def test_progress_survives_a_crash(spark, tmp_path):
+    def new():
+        return topics.Progress(spark, str(tmp_path / "progress"))
+
+    assert [r.offset for r in new().take(envelope(spark, "a", "b")).collect()] == [0, 1]
+    first = new()
+    taken = first.take(envelope(spark, "a", "b"))
+    first.done()
+    assert taken.count() == 2 and new().offsets() == {"payment.processed": {0: 2}}
+    second = new()
+    assert [r.offset for r in second.take(envelope(spark, "a", "b", "c")).collect()] == [2]
+    second.done()
+    third = new()
+    assert third.take(envelope(spark, "a", "b", "c")).count() == 0
+    third.done()
+    assert new().offsets() == {"payment.processed": {0: 3}}
+
+
+def test_outbox_without_pending_rows(spark, tmp_path):
+    from tradewind.sources.outbox import publish_pending
+
+    outbox = spark.createDataFrame([("1", "o", "t", "{}", "Y")], "id string, order_id string, event_type string, event_data string, published string")
+    sent = []
+    marked = publish_pending(outbox, str(tmp_path), lambda records, name: sent.append(name), "2024-01-01")
+    assert marked.count() == 0 and sent == []
+    waiting = outbox.withColumn("published", F.lit("N"))
+    for _ in range(2):
+        marked = publish_pending(waiting, str(tmp_path), lambda records, name: sent.append(records.count()), "2024-01-01")
+        assert [(r.id, r.published) for r in marked.collect()] == [("1", "Y")]
+    assert sent == [1]
+
+
+def test_as_of_values_at_limits_and_ties(spark, rows):
+    from tradewind.operators.slices import as_of_values
+
+    at = lambda m: datetime(2024, 1, 1, 12, m)
+    points = spark.createDataFrame([("a", at(0)), ("a", at(10)), ("a", at(40)), ("b", at(10)), (None, at(10)), ("a", None)], "k string, ts timestamp")
+    told = spark.createDataFrame(
+        [("a", at(10), 1, 1.0), ("a", at(10), 2, 2.0), ("a", at(9), 9, 9.0), ("a", None, 3, 3.0), (None, at(1), 4, 4.0), ("c", at(1), 5, None)],
+        "k string, ts timestamp, n int, v double")
+    for width in ("1 minute", "1 day"):
+        found = as_of_values(points, told, ["k"], "ts", ["v"], "30 minutes", ["n"], width=width)
+        assert rows(found) == sorted([("a", at(0), None, None), ("a", at(10), at(10), 2.0), ("a", at(40), at(10), 2.0), ("b", at(10), None, None),
+                                      (None, at(10), at(1), 4.0), ("a", None, None, None)], key=repr)
+        stale = as_of_values(points, told, ["k"], "ts", ["v"], "29 minutes", ["n"], width=width).filter("k = 'a' and minute(ts) = 40")
+        assert [r.as_of_v for r in stale.collect()] == [None]

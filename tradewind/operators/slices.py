@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tradewind.functions.timing import slice_of
+from tradewind.functions.timing import interval, slice_of
 
 _SLICE, _START, _OPENS = "_slice", "_is_start", "_opens"
 
@@ -98,3 +98,43 @@ def previous_row(
         .select(*keys, _SLICE, "_last.*")
     )
     return _with_starts(sliced, starts, lagged).drop(_SLICE)
+
+
+def as_of_values(
+    points: DataFrame,
+    samples: DataFrame,
+    keys: list[str],
+    ts: str,
+    columns: list[str],
+    within: str | None = None,
+    ties: list[str] = (),
+    prefix: str = "as_of_",
+    width: str = "1 hour",
+) -> DataFrame:
+    """Add to each point the ``columns`` of the last sample of its key at or before it, and that sample's time.
+
+    Both sides have ``keys`` and the time ``ts``. Of samples at one time the last by ``ties``, then by ``columns``
+    counts. A sample older than ``within`` is stale: all nulls then, as where there is none. Points without a time
+    have none. No pairs are formed: points and samples are sorted together within slices, and the
+    last sample of the slices before is carried into each slice.
+    """
+    sample = F.struct(ts, *ties, *[column for column in columns if column not in ties])
+    kind = samples.select(sample.alias("s")).schema["s"].dataType
+    both = points.withColumn("_sample", F.lit(None).cast(kind)).unionByName(
+        samples.filter(F.col(ts).isNotNull()).select(*keys, ts, sample.alias("_sample")), allowMissingColumns=True
+    ).withColumn(_SLICE, slice_of(ts, width))
+    marked = both.withColumn("_is_point", F.col("_sample").isNull())
+    lasts = both.groupBy(*keys, _SLICE).agg(F.max("_sample").alias("_sample"))
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        lasts.withColumn("_sample", F.last("_sample", ignorenulls=True).over(earlier))
+        .filter(F.col("_sample").isNotNull()).withColumn("_is_point", F.lit(False))
+    )
+    # Samples at the time of a point come before it, in their own order; a start comes before all.
+    order = Window.partitionBy(*keys, _SLICE).orderBy(F.col(_START).desc(), ts, "_is_point", "_sample").rowsBetween(Window.unboundedPreceding, 0)
+    found = _with_starts(marked, starts, lambda rows: rows.withColumn("_found", F.last("_sample", ignorenulls=True).over(order)))
+    fresh = F.col(f"_found.{ts}") <= F.col(ts)
+    if within is not None:
+        fresh = fresh & (F.col(ts) <= F.col(f"_found.{ts}") + interval(within))
+    values = [F.when(fresh, F.col(f"_found.{name}")).alias(prefix + name) for name in (ts, *columns)]
+    return found.filter("_is_point").select(*points.columns, *values)

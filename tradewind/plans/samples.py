@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.functions.timing import micros
+from tradewind.functions.timing import Instant, instant, interval, micros
 from tradewind.operators.ranking import highest, share_of_total
-from tradewind.operators.slices import previous_row
+from tradewind.operators.slices import as_of_values, previous_row
 
 # ---- fixed values: upper bounds of the duration histograms, in seconds ----------------------
 HTTP_BOUNDS = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
@@ -85,6 +85,22 @@ def correlate(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right, on, "full_outer")
 
 
+def aligned(
+    samples: DataFrame, metrics: list[str], by: str, start: Instant, end: Instant, step: str, within: str
+) -> DataFrame:
+    """``metrics`` side by side on a grid of times from ``start`` to ``end``, for each value of the label ``by``.
+
+    At each time a metric has the value of its last sample then, or null if that is older than ``within``.
+    """
+    series = samples.filter(F.col("metric").isin(list(metrics))).select("metric", label_of(by), "ts", "value")
+    times = F.sequence(instant(start), instant(end), interval(step))
+    # The labels of a metric are few; times are made in the tasks.
+    points = series.select("metric", by).distinct().withColumn("ts", F.explode(times))
+    found = as_of_values(points, series, ["metric", by], "ts", ["value"], within)
+    columns = [F.max(F.when(F.col("metric") == metric, F.col("as_of_value"))).alias(metric) for metric in metrics]
+    return found.groupBy("ts", by).agg(*columns)
+
+
 def success_pct(events: DataFrame, success: Column, by: list[str] = (), eps: float = 0.0) -> DataFrame:
     """Percentage of events for which ``success`` holds.
 

@@ -7,11 +7,18 @@ Parquet files and is what tests and backfills use.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import from_epoch_seconds, parse_json, parse_time
 from tradewind.schemas import DEAD_LETTER_TOPIC, ENVELOPE, pick, schema_for
+from tradewind.sources.files import Folder
+
+
+#: For each topic, the next offset to read of each partition.
+Offsets = dict[str, dict[int, int]]
 
 
 def source_options(
@@ -47,17 +54,22 @@ def read_topic(spark: SparkSession, topic: str, options: dict[str, str]) -> Data
 
 
 def scan_topics(
-    spark: SparkSession, topics: list[str], servers: str, fail_on_data_loss: bool = True
+    spark: SparkSession,
+    topics: list[str],
+    servers: str,
+    fail_on_data_loss: bool = True,
+    start: Offsets | None = None,
 ) -> DataFrame:
     """Everything now in the topics, as a batch, one task per Kafka partition range.
 
+    With ``start`` only the records from there on; it must then name all partitions of the topics.
     Records that vanish meanwhile are an error, unless ``fail_on_data_loss`` is off.
     """
     return (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
-        .option("startingOffsets", "earliest")
+        .option("startingOffsets", json.dumps(start) if start else "earliest")
         .option("endingOffsets", "latest")
         .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
@@ -111,3 +123,65 @@ def topic_depth(envelope: DataFrame) -> DataFrame:
         F.min("offset").alias("low_offset"),
         (F.max("offset") + 1).alias("high_offset"),
     )
+
+
+def next_offsets(envelope: DataFrame) -> Offsets:
+    """The offsets after the last record of each topic partition: a row for each, whatever the records."""
+    found: Offsets = {}
+    for row in topic_depth(envelope).collect():
+        found.setdefault(row["topic"], {})[row["partition"]] = row["high_offset"]
+    return found
+
+
+def between(envelope: DataFrame, start: Offsets | None = None, end: Offsets | None = None) -> DataFrame:
+    """The records from ``start`` (included) to ``end`` (excluded) of each partition; both reach the scan.
+
+    A partition that ``start`` lacks is read from its beginning. With an ``end``, a partition that it lacks is not
+    read at all. Offsets are per partition, so the condition has a term for each of them.
+    """
+    rows = envelope
+    if start:
+        before = F.lit(False)
+        for topic, parts in start.items():
+            for part, offset in parts.items():
+                before = before | _in(topic, part) & (F.col("offset") < offset)
+        rows = rows.filter(~before)
+    if end is not None:
+        inside = F.lit(False)
+        for topic, parts in end.items():
+            for part, offset in parts.items():
+                inside = inside | _in(topic, part) & (F.col("offset") < offset)
+        rows = rows.filter(inside)
+    return rows
+
+
+def _in(topic: str, part: int) -> Column:
+    return (F.col("topic") == topic) & (F.col("partition") == part)
+
+
+class Progress:
+    """Which records a repeated scan has read, kept as a small file in a folder.
+
+    ``take`` gives what is new; ``done`` records that it was used. Without ``done``, after a crash for
+    instance, the next scan gives the same records, and those that came since.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.folder, self.taken = Folder(spark, folder), None
+
+    def offsets(self) -> Offsets:
+        """Where the next scan starts."""
+        read = json.loads(self.folder.read("offsets.json") or "{}")
+        return {topic: {int(part): offset for part, offset in parts.items()} for topic, parts in read.items()}
+
+    def take(self, envelope: DataFrame) -> DataFrame:
+        """The records of ``envelope`` that no scan has used; later arrivals are not among them."""
+        start = self.offsets()
+        new = between(envelope, start)
+        ends = next_offsets(new)
+        self.taken = {topic: {**start.get(topic, {}), **ends.get(topic, {})} for topic in {*start, *ends}}
+        return between(new, None, ends)
+
+    def done(self) -> None:
+        if self.taken is not None:
+            self.folder.write("offsets.json", json.dumps(self.taken))
