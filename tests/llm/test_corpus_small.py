@@ -186,14 +186,38 @@ def test_binomial_proof():
     assert quality.proves(0, 200_000, 0.001, 1e-6)
 
 
+LABELLED = "stratum string, good long, bad long, orders boolean, " + ", ".join(f"{r} double" for r in quality.RULES)
+
+
 def test_cutoffs_follow_the_labels(spark):
-    good = [(f"s{i % 2}", 1, 0, 0.0, 0.0, 0.0, 5.0, -5.0, -50.0) for i in range(8000)]
-    bad = [(f"s{i % 2}", 0, 1, 0.12, 0.0, 0.0, 5.0, -5.0, -50.0) for i in range(200)]
-    few = [("tiny", 1, 0, 0.0, 0.0, 0.0, 5.0, -5.0, -50.0), ("tiny", 0, 1, 0.3, 0.0, 0.0, 5.0, -5.0, -50.0)]
-    df = spark.createDataFrame(good + bad + few, "stratum string, good long, bad long, " + ", ".join(f"{r} double" for r in quality.RULES))
-    chosen = rows_of(quality.cutoffs(df))
-    assert {(s, r) for s, r, _ in chosen} == {("s0", "symbol_share"), ("s1", "symbol_share")}
-    assert all(0.0 <= c < 0.12 for _, _, c in chosen)
+    good = [(f"s{i % 2}", 1, 0, i % 5 == 0, 0.0, 0.0, 0.0, 5.0, -5.0, -50.0) for i in range(700)]
+    bad = [(f"s{i % 2}", 0, 1, i % 5 == 0, 0.12, 0.0, 0.0, 5.0, -5.0, -50.0) for i in range(200)]
+    few = [("tiny", 1, 0, False, 0.0, 0.0, 0.0, 5.0, -5.0, -50.0), ("tiny", 0, 1, False, 0.3, 0.0, 0.0, 5.0, -5.0, -50.0)]
+    none = [(None, 0, 1, False, 0.3, 0.0, 0.0, 5.0, -5.0, -50.0), ("ok", 1, 0, False, 0.3, 0.0, 0.0, 5.0, -5.0, -50.0)]
+    df = spark.createDataFrame(good + bad + few + none, LABELLED)
+    chosen = {r.stratum: r.cutoffs for r in quality.cutoffs(df).collect()}
+    assert set(chosen) == {"s0", "s1"}
+    assert all(set(c) == {"symbol_share"} and 0.0 <= c["symbol_share"] < 0.12 for c in chosen.values())
+    assert quality.cutoffs(df.limit(0)).count() == 0
+
+
+def test_rules_together_stay_below_the_risk(spark):
+    """300 strata are 300 trials: with two rules that each cost good documents, few choices exceed the risk."""
+    trials, level = 300, 0.1
+    u = lambda seed: F.rand(seed)
+    rows = spark.range(trials * 800).select(
+        (F.col("id") % trials).cast("string").alias("stratum"), (u(1) < 0.75).alias("g"), (u(2) < 0.2).alias("orders"), u(3).alias("a"), u(4).alias("b"))
+    rows = rows.select("stratum", F.col("g").cast("long").alias("good"), (~F.col("g")).cast("long").alias("bad"), "orders",
+                       F.when(F.col("g"), F.col("a") ** 30 * 0.6).otherwise(F.col("a")).alias("symbol_share"),
+                       F.when(F.col("g"), F.col("b") ** 30 * 0.6).otherwise(F.col("b")).alias("dup_lines_per_word"),
+                       F.lit(0.0).alias("repeat_share"), F.lit(5.0).alias("long_words"), F.lit(-5.0).alias("short_words"), F.lit(-50.0).alias("few_words"))
+    from tradewind.session import stored
+
+    chosen = quality.cutoffs(stored(rows), risk=0.02, delta=level * trials, worth=0.0).collect()
+    keeps = lambda cut: 1.0 if cut is None else (min(1.0, cut / 0.6)) ** (1 / 30)
+    lost = [1 - keeps(r.cutoffs.get("symbol_share")) * keeps(r.cutoffs.get("dup_lines_per_word")) for r in chosen]
+    assert len(chosen) > trials / 2 and max(lost) > 0.01
+    assert sum(share > 0.02 for share in lost) <= level * trials + 3 * math.sqrt(trials * level)
 
 
 def test_quality_keeps_columns_and_odd_rows(docs, nothing, spark):
