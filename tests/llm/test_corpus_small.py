@@ -49,8 +49,12 @@ def bare(text):
     return re.sub(r"[\x20\x09-\x0D]", "", text or "")
 
 
-@pytest.mark.parametrize("block", [2, 7, 16_384])
-def test_exact_groups(docs, block):
+SORTED_BY = {"hash": exact.hash_of, "nothing": lambda block: F.lit(0).cast("long"), "length": lambda block: F.length(block).cast("long")}
+
+
+@pytest.mark.parametrize("block, by", [(7, "hash"), (16_384, "hash"), (16_384, "nothing"), (500, "length"), (16_384, "length")])
+def test_exact_groups(docs, block, by):
+    """Also where all blocks, or all of one length, share what they are sorted by first."""
     groups = defaultdict(list)
     for i, text in TEXTS:
         groups[bare(text)].append((i, len(text or "")))
@@ -62,7 +66,7 @@ def test_exact_groups(docs, block):
             kept = (i, n) == keep and first
             first = first and not kept
             want.append((i, n, keep[0], len(members), kept, hashlib.sha256(body.encode()).hexdigest()))
-    assert rows_of(exact.document_groups(docs, block)) == sorted(want, key=repr)
+    assert rows_of(exact.document_groups(docs, block, SORTED_BY[by])) == sorted(want, key=repr)
 
 
 def test_exact_drop_keeps_columns(docs, nothing):
