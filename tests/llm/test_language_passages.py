@@ -37,6 +37,28 @@ def test_language(spark):
     assert {r.lang_pred for r in language.predict_all(df.where("lang is null")).collect()} == {"und"}
 
 
+def test_scores_of_short_texts_are_honest(spark):
+    """Pieces of held-out texts, by size: the mean score is close to the share that is right, and none is certain."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs.where(~language.held_out(docs["doc_id"])))
+    draw = random.Random(8)
+    kept = [r for r in docs.where(language.held_out(docs["doc_id"])).where("lang is not null and text is not null").select("text", "lang").collect() if len(r.text.split()) > 5]
+    for n in (1, 2, 4, 20):
+        told, right = [], []
+        for r in kept:
+            words = r.text.split()
+            for _ in range(3):
+                start = draw.randrange(max(1, len(words) - n))
+                piece = " ".join(words[start : start + n])
+                if language.has_letter(piece):
+                    lang, score = model.predict(piece)
+                    told.append(score)
+                    right.append(lang == r.lang)
+        assert abs(np.mean(told) - np.mean(right)) < 0.06, n
+        assert max(told) < 0.9999
+    assert model.predict("a")[1] < 0.9
+
+
 def test_too_many_languages_are_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"some text {i}", f"l{i % 3}") for i in range(30)], "doc_id long, text string, lang string")
     monkeypatch.setattr(language, "MAX_LANGUAGES", 2)

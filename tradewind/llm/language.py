@@ -2,9 +2,11 @@
 
 Features are hashed n-grams of one to three lower-cased characters. Document frequencies are counted over all
 training documents. The weights are learned on a bounded sample of them, with follow-the-regularised-
-leader and an elastic-net penalty (the absolute part keeps most weights at exactly zero); a part of the
-sample is held back to fit the temperature that makes scores honest probabilities. Only text and
-language of training documents are used, and a prediction sees nothing but the text.
+leader and an elastic-net penalty (the absolute part keeps most weights at exactly zero). A part of the
+sample is held back to fit the temperatures that make scores honest probabilities: of the whole texts, and of
+short pieces of them, as a few letters are less evidence than a page. Each size of text has its own
+temperature. So that no number of right answers makes a score certain, one more answer per language is counted
+as wrong. Only text and language of training documents are used, and a prediction sees nothing but the text.
 """
 
 from __future__ import annotations
@@ -105,13 +107,19 @@ def train(rows: list, labels: np.ndarray, classes: int, passes: int = 3, alpha:
 
 
 def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the scores with the least log loss, by golden-section search on its logarithm."""
+    """The divisor of the scores with the least log loss, by golden-section search on its logarithm.
+
+    Besides the given answers each class counts once more, with all classes as likely, so that scores that
+    are always right keep a loss that forbids certainty.
+    """
     if not len(labels):
         return 1.0
+    n, classes = len(labels), scores.shape[1]
+    wrong = classes / (n + classes)
 
     def loss(log_t: float) -> float:
-        p = _softmax(scores / math.exp(log_t))
-        return float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-300)).mean())
+        log_p = np.log(np.maximum(_softmax(scores / math.exp(log_t)), 1e-300))
+        return float(-((1 - wrong) * log_p[np.arange(n), labels] + wrong * log_p.mean(axis=1)).mean())
 
     low, high, ratio = math.log(0.02), math.log(20.0), (math.sqrt(5) - 1) / 2
     for _ in range(40):
@@ -123,17 +131,50 @@ def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((low + high) / 2)
 
 
+#: Pieces of so many words of each held-back text are calibrated on, besides the whole text.
+PIECES = (1, 2, 4, 8, 16, 32)
+#: Sizes of text with a temperature of their own: powers of two of characters.
+SIZES = 16
+LEAST_OF_A_SIZE = 30
+
+
+def pieces_of(text: str, number: int) -> list[str]:
+    """The text, and parts of it that begin at places that depend on ``number``."""
+    words, out = text.split(), [text]
+    for n in PIECES:
+        if n < len(words):
+            start = (number * 2654435761 + n) % (len(words) - n + 1)
+            out.append(" ".join(words[start : start + n]))
+    return [piece for piece in out if has_letter(piece)]
+
+
+def size_of(text: str) -> int:
+    return min(len(text).bit_length(), SIZES - 1)
+
+
+def temperatures(sizes: np.ndarray, scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """A temperature for each size of text; sizes with few examples take part in their neighbours'."""
+    heats = []
+    for size in range(SIZES):
+        reach, some = 0, sizes == size
+        while some.sum() < LEAST_OF_A_SIZE and reach < SIZES:
+            reach += 1
+            some = np.abs(sizes - size) <= reach
+        heats.append(temperature(scores[some], labels[some]))
+    return np.array(heats)
+
+
 class Model:
-    """Languages, IDF, weights and temperature."""
+    """Languages, IDF, weights and the temperatures by size of text."""
 
-    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, heat: float):
-        self.languages, self.idf, self.weights, self.heat = languages, idf, weights.astype(np.float32), heat
+    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, heats: np.ndarray):
+        self.languages, self.idf, self.weights, self.heats = languages, idf, weights.astype(np.float32), heats
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         at, x = weighted(text, self.idf)
-        p = _softmax((x @ self.weights[at]) / self.heat)
+        p = _softmax((x @ self.weights[at]) / self.heats[size_of(text)])
         best = int(p.argmax())
         return self.languages[best], float(p[best])
 
@@ -151,7 +192,7 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
         raise ValueError(f"more than {MAX_LANGUAGES} languages; none is left out silently")
     languages = sorted(row[0] for row in sizes)
     if not languages:
-        return Model([], idf, np.zeros((FEATURES, 0)), 1.0)
+        return Model([], idf, np.zeros((FEATURES, 0)), np.ones(SIZES))
     number = {lang: i for i, lang in enumerate(languages)}
     spark = training.sparkSession
     shares = spark.createDataFrame([(row[0], min(1.0, 2.0 * sample / row[1])) for row in sizes], "lang string, share double")
@@ -164,17 +205,18 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Model:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = sorted((turn, lang, text) for b in batches for text, lang, turn in zip(*[c.to_pylist() for c in b.columns]))
-        vectors = [weighted(text, idf) for _, _, text in given]
-        labels = np.array([number[lang] for _, lang, _ in given], dtype=np.int64)
-        held = np.array([turn % 5 == 0 for turn, _, _ in given], dtype=bool)
-        weights = train([v for v, h in zip(vectors, held) if not h], labels[~held], len(languages))
-        scores = np.array([v[1] @ weights[v[0]] for v, h in zip(vectors, held) if h]).reshape(-1, len(languages))
+        rows = [(weighted(text, idf), number[lang]) for turn, lang, text in given if turn % 5]
+        weights = train([v for v, _ in rows], np.array([label for _, label in rows], dtype=np.int64), len(languages))
+        held = [(piece, number[lang]) for turn, lang, text in given if turn % 5 == 0 for piece in pieces_of(text, turn)]
+        vectors = [weighted(piece, idf) for piece, _ in held]
+        scores = np.array([x @ weights[at] for at, x in vectors]).reshape(-1, len(languages))
+        heats = temperatures(np.array([size_of(piece) for piece, _ in held]), scores, np.array([label for _, label in held], dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([weights.astype("<f8").tobytes()], pa.binary()), pa.array([temperature(scores, labels[held])])], names=["weights", "heat"])
+            [pa.array([weights.astype("<f8").tobytes()], pa.binary()), pa.array([heats.astype("<f8").tobytes()], pa.binary())], names=["weights", "heats"])
 
     # A bounded sample, learned from in one task.
-    blob, heat = chosen.repartition(1).mapInArrow(learn, "weights binary, heat double").first()
-    return Model(languages, idf, np.frombuffer(blob, dtype="<f8").reshape(FEATURES, len(languages)), heat)
+    blob, heats = chosen.repartition(1).mapInArrow(learn, "weights binary, heats binary").first()
+    return Model(languages, idf, np.frombuffer(blob, dtype="<f8").reshape(FEATURES, len(languages)), np.frombuffer(heats, dtype="<f8"))
 
 
 def held_out(doc_id: Column) -> Column:
