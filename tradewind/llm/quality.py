@@ -249,3 +249,9 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: floa
     verdict = F.struct(*[stats[name].alias(name) for name in STATS], base_failed(stats).alias("base_failed"),
                        (~base_failed(stats) & ~rejects).alias("kept"))
     return with_cuts.withColumn(out, verdict).select(*docs.columns, out)
+
+
+def passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """The documents that ``judged`` keeps, with their own columns only."""
+    verdict = F.col(fresh(docs, "quality"))
+    return judged(docs, labels, stratum, risk, delta).where(verdict["kept"]).select(*docs.columns)
