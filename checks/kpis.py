@@ -1,10 +1,16 @@
 """The KPIs over the result tables."""
 
+from uuid import uuid4
+
 from checks.inputs import ALERTS_AS_OF, AS_OF, ORDERS_AS_OF, Inputs
 from checks.registry import query
 from checks.relations import money
 from pyspark.sql import functions as F
 from tradewind.plans import alerting, dead_letters, kpis
+from tradewind.plans.kpi_report import report
+from tradewind.session import durable_folder
+from tradewind.sources.sinks import write_snapshot
+from tradewind.streaming.runner import batch_folder_sink, upsert_sink
 
 DAY_AGO = f"TIMESTAMP '{AS_OF}' - INTERVAL 24 HOURS"
 ALERTS_DAY_AGO = f"TIMESTAMP '{ALERTS_AS_OF}' - INTERVAL 24 HOURS"
@@ -198,9 +204,7 @@ def vs_average(t: Inputs):
     return kpis.revenue_vs_average(t.revenue, AS_OF)
 
 
-@query(
-    "k_snapshot",
-    f"""
+SNAPSHOT = f"""
     WITH days AS (
       SELECT {money("total_revenue")} AS r, SUM(order_count) AS n, AVG(avg_order_value) AS a
       FROM revenue WHERE window_start > {DAY_AGO}),
@@ -232,8 +236,26 @@ def vs_average(t: Inputs):
       UNION ALL SELECT 'system_health_pct', NULL, CASE WHEN n = 0 THEN 0 ELSE healthy * 100.0::DOUBLE / n END FROM hours
       UNION ALL SELECT 'system_status', status, COUNT(*) FROM ops WHERE window_start > {HOUR_AGO}
                 GROUP BY status
-      UNION ALL SELECT 'critical_alerts', NULL, critical FROM hours) x""",
-)
+      UNION ALL SELECT 'critical_alerts', NULL, critical FROM hours) x"""
+
+
+@query("k_snapshot", SNAPSHOT)
 def kpi_snapshot(t: Inputs):
     found = kpis.snapshot(t.revenue, t.alerts, t.velocity, t.abandoned, t.ops, AS_OF)
     return found.withColumn("value", F.round("value", 6))
+
+
+@query("k_report_from_sinks", SNAPSHOT)
+def kpi_report(t: Inputs):
+    """Result tables stored by the sinks of the jobs, some twice, some by upsert; the command's report over them."""
+    folder = f"{durable_folder(t.spark)}/runs/report-{uuid4().hex}"
+    stale = batch_folder_sink(f"{folder}/revenue_metrics")
+    stale(t.revenue.withColumn("total_revenue", F.lit(-1.0)), 0)
+    stale(t.revenue, 1)
+    batch_folder_sink(f"{folder}/operational_metrics")(t.ops, 0)
+    batch_folder_sink(f"{folder}/cart_abandonment")(t.abandoned, 0)
+    alerts = upsert_sink(f"{folder}/fraud_alerts", ["alert_id"], "bucket", by=F.pmod(F.xxhash64("alert_id"), F.lit(4)))
+    alerts(t.alerts.withColumn("severity", F.lit("old")), 0)
+    alerts(t.alerts, 1)
+    write_snapshot(t.velocity, f"{folder}/inventory_velocity")
+    return report(t.spark, folder, AS_OF).withColumn("value", F.round("value", 6))

@@ -41,3 +41,25 @@ def test_velocity_replaces_its_table(spark, tmp_path):
         run(spark, parse(["velocity", "--orders", str(tmp_path / "orders"), "--out", str(tmp_path / "out")]))
     (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert (row.product_id, row.units_sold, str(row.revenue)) == ("p", 2, "5.50")
+
+
+def test_velocity_of_some_partitions(spark, tmp_path):
+    rows = [("o", "FULFILLED", '[{"product_id": "p", "quantity": 2, "item_total": 5.5}]', NOON, month) for month in ("2024-02", "2024-03")]
+    orders = spark.createDataFrame(rows, "order_id string, status string, items string, created_at timestamp, month string")
+    orders.write.partitionBy("month").parquet(str(tmp_path / "orders"))
+    run(spark, parse(["velocity", "--orders", str(tmp_path / "orders"), "--out", str(tmp_path / "out"), "--months", "2024-03"]))
+    assert [r.units_sold for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
+
+
+def test_kpis_over_what_jobs_stored(spark, tmp_path, capsys):
+    topic = Topic(spark, tmp_path / "topic")
+    for at in (NOON, NOON + timedelta(hours=3)):
+        topic.send(topic.payment(at, 2000.0), topic.order(at))
+    out = str(tmp_path / "tables" / "revenue_metrics")
+    run(spark, parse(["revenue", "--files", topic.path, "--out", out, "--checkpoint", str(tmp_path / "c"), "--once"]))
+    arguments = ["kpis", "--tables", str(tmp_path / "tables"), "--as-of", str(NOON + timedelta(hours=4))]
+    run(spark, parse(arguments))
+    assert '{"kpi":"revenue_total_24h","value":2000.0}' in capsys.readouterr().out
+    run(spark, parse([*arguments, "--out", str(tmp_path / "kpis")]))
+    found = {(r.kpi, r.label): r.value for r in spark.read.parquet(str(tmp_path / "kpis")).collect()}
+    assert found["revenue_total_24h", None] == 2000.0 and found["critical_alerts", None] == 0

@@ -2,10 +2,13 @@
 
     revenue | fraud | carts | throughput    streams over topics
     velocity                                 batch over the orders table
+    kpis                                     batch over the result tables of the others
 
 Streams read Kafka (``--servers``) or a folder of envelope files (``--files``), and store their
 result table under ``--out`` or merge it into the catalog table ``--table``. ``velocity`` reads
-the orders from Parquet (``--orders``) and replaces the table under ``--out``.
+the orders from Parquet (``--orders``) and replaces the table under ``--out``. ``kpis`` reads the result
+tables under ``--tables``, each in a folder of its name, and prints the KPIs as of ``--as-of`` (default: now) as
+JSON lines, or replaces the table under ``--out``. Jobs fill such a folder with ``--out <tables>/<result table>``.
 """
 
 from __future__ import annotations
@@ -14,8 +17,10 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.plans import jobs
+from tradewind.plans.kpi_report import report
 from tradewind.schemas import JOURNEY_TOPICS, conform
 from tradewind.session import build_session
 from tradewind.sources.sinks import write_snapshot
@@ -65,11 +70,15 @@ STREAMS = {
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tradewind", description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=[*STREAMS, "velocity"])
+    parser.add_argument("job", choices=[*STREAMS, "velocity", "kpis"])
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--files", help="folder of envelope Parquet files, instead of Kafka")
     parser.add_argument("--max-per-trigger", type=int, help="records (Kafka) or files per batch")
     parser.add_argument("--orders", help="Parquet table of orders, for velocity")
+    parser.add_argument("--months", nargs="*", help="for velocity: only these partitions (values of --partition)")
+    parser.add_argument("--partition", default="month", help="partition column of --orders that --months names")
+    parser.add_argument("--tables", help="folder of the result tables, for kpis")
+    parser.add_argument("--as-of", help="instant of the KPIs, for kpis")
     parser.add_argument("--out", help="folder of the result table")
     parser.add_argument("--table", help="catalog table to merge into, instead of --out")
     parser.add_argument("--checkpoint", help="default: a folder per job in spark.checkpoint.dir")
@@ -79,8 +88,20 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
+    if options.job == "kpis":
+        found = report(spark, options.tables, options.as_of or F.current_timestamp())
+        if options.out:
+            write_snapshot(found, options.out)
+        else:
+            # A few rows per KPI, whatever the size of the tables.
+            for line in found.toJSON().collect():
+                print(line)
+        return
     if options.job == "velocity":
-        found = jobs.inventory_velocity(read_table(spark, options.orders, "orders"))
+        orders = read_table(spark, options.orders, None if options.months else "orders")
+        if options.months:
+            orders = orders.filter(F.col(options.partition).cast("string").isin(options.months))
+        found = jobs.inventory_velocity(orders)
         write_snapshot(conform(found, "inventory_velocity"), options.out)
         return
     transform, table = STREAMS[options.job]
