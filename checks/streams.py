@@ -6,6 +6,7 @@ that are still open when the input ends.
 
 from __future__ import annotations
 
+import time
 from uuid import uuid4
 
 from checks.event_state import CARTS, CARTS_AS_OF, GREEDY
@@ -20,6 +21,8 @@ from tradewind.plans import jobs, orders
 from tradewind.session import durable_folder, stored
 from tradewind.sources.sinks import read_current
 from tradewind.sources.upsert import read_table
+from tradewind.sources.files import Folder
+from tradewind.streaming.progress import ProgressLog, read_progress
 from tradewind.streaming.order_state import order_status_changes
 from tradewind.streaming.reservations import reserve_as_they_come
 from tradewind.streaming.runner import batch_folder_sink, start_job, upsert_sink
@@ -224,3 +227,34 @@ def reservations(t: Inputs):
             if started.exception() is not None:
                 raise started.exception()
     return t.spark.read.parquet(f"{folder}/out").drop("run", "batch_id").withColumn("quantity", F.col("quantity").cast("int"))
+
+
+@query(
+    "t_stream_late_rows",
+    """
+    SELECT COUNT(*) AS input_rows, COUNT(*) FILTER (WHERE NOT late) AS accepted_rows, COUNT(*) FILTER (WHERE late) AS dropped_rows
+    FROM (SELECT ts < TIMESTAMP '2024-01-10' AND user_id % 10 = 0 AS late FROM events)""",
+)
+def late_rows(t: Inputs):
+    """Three files; the last one holds rows of a time that the watermark has passed by then."""
+    folder, name = f"{durable_folder(t.spark)}/runs/late-{uuid4().hex}", f"late-{uuid4().hex}"
+    late = (F.col("ts") < F.lit("2024-01-10").cast("timestamp")) & (F.col("user_id") % 10 == 0)
+    first = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    for part in (~late & first, ~late & ~first, late):
+        t.events.filter(part).repartition(1).write.mode("append").parquet(f"{folder}/in")
+    source = t.spark.readStream.schema(t.table_schema("events")).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    once = dedup_events(source.select("event_type", F.col("event_id").cast("string").alias("event_id"), F.col("ts").alias("event_timestamp")))
+    log = ProgressLog(t.spark, name, f"{folder}/progress")
+    t.spark.streams.addListener(log)
+    try:
+        started = start_job(once, batch_folder_sink(f"{folder}/out"), name, None, "append", f"{folder}/checkpoint")
+        started.awaitTermination()
+        # Listeners are told asynchronously.
+        for _ in range(100):
+            if Folder(t.spark, f"{folder}/progress").has(f"{started.lastProgress.batchId}.json"):
+                break
+            time.sleep(0.1)
+    finally:
+        t.spark.streams.removeListener(log)
+    found = read_progress(t.spark, f"{folder}/progress")
+    return found.agg(*[F.sum(c).alias(c) for c in ("input_rows", "accepted_rows", "dropped_rows")])
