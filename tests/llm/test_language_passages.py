@@ -231,3 +231,25 @@ def test_gap_matches_is_a_longest_common_subsequence(a, b, bits):
     assert len(set(matched)) == len(matched) == size[-1][-1]
     rest = iter(b)
     assert all(a[i] in rest for i in sorted(matched))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 130), st.integers(0, 10**6), st.floats(0.5, 1)), min_size=1, max_size=6))
+def test_possible_rules_out_no_passage(kinds):
+    """Possible is what has LENGTH or more words of which the partner has enough; every passage is among that."""
+    draw = np.random.default_rng(kinds[0][1])
+    text = draw.integers(0, 40, 300).astype(np.uint64)
+    partner = passages.Partner.__new__(passages.Partner)
+    partner.words = passages.Places(text)
+    words, wanted, want, found = [], [], [], []
+    for size, seed, share in kinds:
+        own = np.random.default_rng(seed)
+        start = int(own.integers(0, 300 - size)) if size < 300 else 0
+        hit = own.random(size) < share
+        words.append(np.where(hit, text[start : start + size], np.uint64(1000)))
+        wanted.append(np.arange(size) + start)
+        total = np.concatenate(([0], np.cumsum(hit)))
+        want.append(any(10 * (total[b] - total[a]) >= 8 * (b - a) for a in range(size) for b in range(a + passages.LENGTH, size + 1)))
+        found.append(bool(passages.stretches(hit)))
+    got = partner.possible(np.array([len(w) for w in words]), np.concatenate(words), np.concatenate(wanted))
+    assert got.tolist() == want and all(g >= f for g, f in zip(got, found))
