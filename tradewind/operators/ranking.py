@@ -45,11 +45,13 @@ def latest_value(ts: str, value: str) -> Column:
 
 
 def share_of_total(counts: DataFrame, count: str, out: str) -> DataFrame:
-    """Percentage of the total for each row of an already aggregated table of few categories."""
+    """Percentage of the total for each row of an already aggregated table.
+
+    The total is a scalar subquery, so the rows stay where they are, however many categories there are.
+    """
     from tradewind.functions.scalars import percent
 
-    total = F.sum(count).over(Window.partitionBy())
-    return counts.withColumn(out, percent(F.col(count), total))
+    return counts.withColumn(out, percent(F.col(count), counts.agg(F.sum(count)).scalar()))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
