@@ -135,6 +135,33 @@ def test_near_group_of_many_copies_at_the_threshold(spark):
     assert rows_of(got) == sorted(brute_components(texts, 4), key=repr)
 
 
+def test_near_pairs_of_a_large_group_are_few(spark, monkeypatch):
+    texts = noisy_copies(400, 120, 9, seed=5)
+    verified, all_pairs = [], []
+    check, pair = near._verified, near._all_pairs
+
+    def counted(pairs, *others):
+        verified.append(pairs.count())
+        return check(pairs, *others)
+
+    def seen(live, similarity):
+        pairs = pair(live, similarity)
+        all_pairs.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(near, "_verified", counted)
+    monkeypatch.setattr(near, "_all_pairs", seen)
+    got = near.near_groups(df, 4).select("doc_id", "n_shingles", "component_id")
+    assert rows_of(got) == sorted(brute_components(texts, 4), key=repr)
+    assert sum(verified[1:]) < 400
+    # Without turns all pairs are left to the last step, which gives each of them once, though they share many bands.
+    monkeypatch.setattr(near, "TURNS", 0)
+    got = near.near_groups(df, 4).select("doc_id", "n_shingles", "component_id")
+    assert rows_of(got) == sorted(brute_components(texts, 4), key=repr)
+    assert all_pairs[-1][0] == all_pairs[-1][1] > 0
+
+
 def test_near_drop(docs, nothing, spark):
     kept = near.drop_near_copies(docs)
     assert kept.columns == docs.columns

@@ -12,14 +12,17 @@ Groups of any size: equal sets are one class. In a band's bucket each class is c
 pivot, so a bucket of n classes gives n - 1 candidates, not n squared. Components come from those
 links. What then still shares a bucket with another component is searched to the end: shingles that no
 other document of these buckets has cannot be in an intersection, and the others are counted in parts of
-the hash space: a pair's intersection is at most the sum of the smaller counts. Pairs of different
-components that this bound leaves are verified too. So no link between candidates is lost.
+the hash space: a pair's intersection is at most the sum of the smaller counts. What this bound leaves is
+compared with other pivots for a few turns, which joins most components that links join. Then all pairs of
+different components that the bound leaves are verified too. So no link between candidates is lost.
 
 With 32 bands of 4, a pair of similarity 0.8 misses every band with probability 5e-8.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +37,7 @@ COORDINATES = 128
 BAND_ROWS = 4
 SIMILARITY = 80  # in hundredths
 PARTS = 128  # of the shingles, for the bound on intersections
+TURNS = 4  # at other pivots, before all pairs that are left
 CHUNK_BYTES = 1 << 20
 _NONE = np.uint64(2**64 - 1)
 _SEEDS = tokens.mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -136,12 +140,15 @@ def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, similarity: i
         _close(F.size("x"), F.size("y"), common, similarity)).select("u", "v")
 
 
-def _rest(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame, similarity: int) -> DataFrame:
-    """Untried pairs of different components in one bucket that can still be similar enough."""
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = F.min("component").alias("low"), F.max("component").alias("high")
-    unsettled = placed.groupBy("key").agg(*mixed).where("low <> high").select("key")
-    open_members = stored(placed.join(unsettled, "key"))
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members whose key still has members of several components."""
+    keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return members.join(keys.select("key"), "key")
+
+
+def _live(members: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Members of buckets of several components that can still be similar enough to another, with bounds."""
+    open_members = stored(_mixed(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))))
     items = (
         sets.join(open_members.select("node").distinct(), "node", "left_semi")
         .select("node", F.explode("items").alias("item")).withColumn("part", F.pmod("item", F.lit(PARTS)))
@@ -158,21 +165,65 @@ def _rest(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFram
     held = F.aggregate("parts", F.lit(0), lambda done, count: done + count)
     bounded = open_members.join(profile, "node").withColumn("reach", F.lit(100 + similarity) * held / F.lit(similarity))
     smallest = bounded.groupBy("key").agg(F.min("n").alias("least_n"))
-    live = bounded.join(smallest, "key").where("n + least_n <= reach").drop("least_n")
-    still = live.groupBy("key").agg(*mixed).where("low <> high").select("key")
-    live = stored(live.join(still, "key"))
-    a, b = live.alias("a"), live.alias("b")
+    return stored(_mixed(bounded.join(smallest, "key").where("n + least_n <= reach").drop("least_n")))
+
+
+def _fits(a: Column, b: Column, similarity: int) -> Column:
+    """Whether members of different components can be similar enough, by their sizes and bounds."""
     # The same bound part by part is close to the intersection itself.
-    common = F.aggregate(F.zip_with("a.parts", "b.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda done, count: done + count)
-    fits = (
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
-        & (F.col("a.component") != F.col("b.component"))
-        & (F.col("a.n") + F.col("b.n") <= F.least("a.reach", "b.reach"))
-        & (100 * F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n"))
-        & ((100 + similarity) * common >= similarity * (F.col("a.n") + F.col("b.n")))
+    common = F.aggregate(F.zip_with(a["parts"], b["parts"], lambda x, y: F.least(x, y)), F.lit(0), lambda done, count: done + count)
+    return (
+        (a["component"] != b["component"])
+        & (a["n"] + b["n"] <= F.least(a["reach"], b["reach"]))
+        & (100 * F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]))
+        & ((100 + similarity) * common >= similarity * (a["n"] + b["n"]))
     )
-    pairs = a.join(b, fits).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    return pairs.join(tried, ["u", "v"], "left_anti")
+
+
+def _stars(live: DataFrame, turn: int, similarity: int) -> DataFrame:
+    """Pairs (u, v) of each member with one of its bucket, another in every turn."""
+    whole = F.struct(*[c for c in live.columns if c != "key"])
+    pivots = live.groupBy("key").agg(F.min_by(whole, F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("pivot"))
+    pairs = live.select("key", whole.alias("own")).join(pivots, "key").where(_fits(F.col("own"), F.col("pivot"), similarity))
+    return pairs.select(F.least("own.node", "pivot.node").alias("u"), F.greatest("own.node", "pivot.node").alias("v")).distinct()
+
+
+def _all_pairs(live: DataFrame, similarity: int) -> DataFrame:
+    """Each pair (u, v) of different components in one bucket that can be similar enough, in the first of its buckets."""
+    keys = live.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    row = F.struct(*[c for c in live.columns if c != "key"], "keys")
+    sides = stored(live.join(keys, "node").select("key", row.alias("m")))
+    a, b = sides.select("key", F.col("m").alias("a")), sides.select("key", F.col("m").alias("b"))
+    once = F.array_min(F.array_intersect("a.keys", "b.keys"))
+    fits = (a["key"] == b["key"]) & (F.col("a.node") < F.col("b.node")) & _fits(F.col("a"), F.col("b"), similarity)
+    return a.join(b, fits & (a["key"] == once)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
+
+
+def _rest(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) between different components among the untried pairs in one bucket.
+
+    At first each member is compared with one of its bucket for ``TURNS`` times at most, as one link settles all
+    pairs of two components. Then all pairs of what is still apart are.
+    """
+    live = _live(members, found, sets, similarity)
+    sets = stored(sets.join(live.select("node").distinct(), "node", "left_semi"))
+    links = []
+    for turn in range(TURNS):
+        pairs = stored(_stars(live, turn, similarity).join(tried, ["u", "v"], "left_anti"))
+        if pairs.isEmpty():
+            break
+        tried = tried.union(pairs)
+        new = stored(_verified(pairs, sets, sets, similarity))
+        if new.isEmpty():
+            break
+        links.append(new)
+        labels = live.select("node", "component").distinct()
+        between = new.join(labels.toDF("u", "a"), "u").join(labels.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        moved = components(between).select(F.col("node").alias("component"), F.col("component").alias("now"))
+        merged = live.join(moved, "component", "left").withColumn("component", F.coalesce("now", "component")).select(*live.columns)
+        live = stored(_mixed(merged))
+    pairs = _all_pairs(live, similarity).join(tried, ["u", "v"], "left_anti")
+    return reduce(DataFrame.union, links, _verified(pairs, sets, sets, similarity))
 
 
 def classes_of(docs: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
@@ -214,7 +265,7 @@ def classes_of(docs: DataFrame, size: int, similarity: int) -> tuple[DataFrame,
     )
     links = stored(_verified(star, sets.where("left"), sets.where("right"), similarity))
     found = stored(components(links))
-    more = stored(_verified(_rest(shared.select("key", "node", "n"), found, sets, star, similarity), sets, sets, similarity))
+    more = stored(_rest(shared.select("key", "node", "n"), found, sets.select("node", "items"), star, similarity))
     if not more.isEmpty():
         found = components(more.union(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     return signed.drop("bands"), found
