@@ -1,5 +1,6 @@
 """Streams with their own state: orders that end and leave, reservations that arrive out of order."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -118,6 +119,30 @@ def test_reservations_out_of_order_with_a_restart(spark, tmp_path, rows):
     assert rows(found) == greedy(stock, sent, minutes(28))
 
 
+def test_products_share_shelves_of_state(spark, tmp_path, rows):
+    """State is as many entries as shelves and blocks, not products or requests; 13 000 wait on each shelf."""
+    draw = random.Random(3)
+    stock = [(f"p{i}", 900 * i) for i in range(40)]
+    sent = [(f"p{draw.randrange(50)}", f"o{i}", draw.choice((0, 1, 2, 7, None)), minutes(draw.randrange(25))) for i in range(26_000)]
+    sent.insert(9, ("p1", "first", 1, minutes(-60)))
+    feed = Feed(spark, tmp_path, REQUEST)
+    products = spark.createDataFrame(stock, "product_id string, stock int")
+
+    def build(source):
+        return reserve_as_they_come(source, products, watermark="30 minutes", shelves=2)
+
+    feed.send(*sent[:20_000])
+    feed.send(*sent[20_000:])
+    assert rows(feed.run(build, "append").select("order_id")) == [("first",)]
+    waiting = feed.state("waiting").selectExpr("key.shelf", "size(list_element.order_id) AS requests").collect()
+    assert len({row.shelf for row in waiting}) == 2 < len(waiting) < 10 and max(row.requests for row in waiting) <= 10_000
+    assert sum(row.requests for row in waiting) == 26_000
+    feed.send(("p1", "last", 1, minutes(70)))
+    found = feed.run(build, "append").drop("run", "batch_id")
+    expected = greedy(stock, [(product, order, quantity or 0, at) for product, order, quantity, at in sent], minutes(40))
+    assert rows(found.na.fill(0, ["quantity"])) == expected
+
+
 def test_reserved_quantities_are_whole(spark, tmp_path):
     feed = Feed(spark, tmp_path, REQUEST.replace("quantity int", "quantity double"))
     source = spark.readStream.schema(feed.schema).parquet(str(tmp_path))
