@@ -253,3 +253,28 @@ def test_possible_rules_out_no_passage(kinds):
         found.append(bool(passages.stretches(hit)))
     got = partner.possible(np.array([len(w) for w in words]), np.concatenate(words), np.concatenate(wanted))
     assert got.tolist() == want and all(g >= f for g, f in zip(got, found))
+
+
+def test_path_takes_the_best_of_all_paths():
+    """Against every ascending choice of runs."""
+
+    def worth(path, ours, theirs, size):
+        total = 0.0
+        for n, k in enumerate(path):
+            if n:
+                apart = abs((ours[k] - theirs[k]) - (ours[path[n - 1]] - theirs[path[n - 1]]))
+                total -= 0.05 * apart + (apart > 0)
+            total += size[k]
+        return total
+
+    draw = np.random.default_rng(7)
+    for n in (1, 2, 5, 9):
+        for _ in range(30):
+            ours, theirs, size = np.cumsum(draw.integers(1, 5, n)), draw.integers(0, 12, n), draw.integers(3, 9, n)
+            extra = np.zeros(n)
+            extra[draw.integers(n)] = 1e6
+            path = passages._path(ours, theirs, size, extra)
+            assert all(theirs[a] < theirs[b] for a, b in zip(path, path[1:]))
+            choices = [[k for k in range(n) if mask >> k & 1] for mask in range(1, 1 << n)]
+            rising = [c for c in choices if all(theirs[a] < theirs[b] for a, b in zip(c, c[1:]))]
+            assert worth(path, ours, theirs, size + extra) == pytest.approx(max(worth(c, ours, theirs, size + extra) for c in rising), abs=1e-6)
