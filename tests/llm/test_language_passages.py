@@ -218,6 +218,67 @@ def test_recall_of_edited_passages(spark, length, every):
     assert sum(p.partner == i and p.end - p.begin >= length - every for i in range(n) for p in got[n + i].passages) == n
 
 
+@pytest.mark.parametrize("chunk", [700, 1 << 20])
+def test_a_partner_that_is_first_holder_of_no_seed(spark, chunk):
+    """A line that many have, then words too far apart for a seed: the partner has them, the line's first holders have not."""
+    draw = random.Random(6)
+
+    def words(k):
+        return [f"w{draw.randrange(10**6)}" for _ in range(k)]
+
+    line, bodies = words(15), [words(35) for _ in range(3)]
+    rows = [words(30) + line + words(60) for _ in range(4)] + [words(30) + line + b + words(30) for b in bodies]
+    for b in bodies:
+        edited = [w if j % 4 else "other" for j, w in enumerate(b)][:34]
+        rows.append(words(20) + line + edited + words(50))
+        rows.append(words(20) + edited[:20] + words(50))
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df, chunk).collect()}
+    # 49 words are too few; with the next one they are a passage.
+    assert [got[7 + 2 * k].n_repeated for k in range(3)] == [0, 0, 0]
+    rows = [r if i < 7 or i % 2 == 0 else [*r[:69], bodies[(i - 7) // 2][34], *r[69:]] for i, r in enumerate(rows)]
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df, chunk).collect()}
+    assert [[tuple(p) for p in got[7 + 2 * k].passages] for k in range(3)] == [[(20, 70, 4 + k)] for k in range(3)]
+    assert [got[i].n_repeated for i in range(7)] == [0] * 7 and [got[8 + 2 * k].n_repeated for k in range(3)] == [0] * 3
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_all_words_of_passages_on_a_diagonal_are_found(spark, seed):
+    """Against every diagonal of every pair: stock lines in all texts, bodies that few share and that are edited."""
+    draw = random.Random(seed)
+
+    def words(k):
+        return [f"w{draw.randrange(5000)}" for _ in range(k)]
+
+    lines, bodies = [words(draw.randrange(6, 25)) for _ in range(3)], [words(60) for _ in range(6)]
+    rows = []
+    for _ in range(70):
+        text = words(draw.randrange(20))
+        for _ in range(draw.randrange(1, 3)):
+            rate = draw.choice([0.1, 0.2, 0.25, 0.3])
+            text += draw.choice(lines) + [w if draw.random() > rate else f"o{draw.randrange(10**6)}" for w in draw.choice(bodies)] + words(draw.randrange(60))
+        rows.append(text)
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.fuzzy_passages(df, 4000).collect()}
+    lost = wanted = 0
+    for i, ours in enumerate(rows):
+        true = set()
+        for theirs in rows[:i]:
+            for shift in range(50 - len(theirs), len(ours) - 49):
+                hit = np.array([0 <= k - shift < len(theirs) and w == theirs[k - shift] for k, w in enumerate(ours)])
+                if hit.sum() >= 40:
+                    total = np.concatenate(([0], np.cumsum(hit)))
+                    for size in range(50, 100):
+                        for k in np.flatnonzero(10 * (total[size:] - total[:-size]) >= 8 * size):
+                            inside = np.flatnonzero(hit[k : k + size]) + k
+                            if inside[-1] + 1 - inside[0] >= 50:
+                                true.update(range(inside[0], inside[-1] + 1))
+        covered = {w for p in got[i].passages for w in range(p.begin, p.end)}
+        wanted, lost = wanted + len(true), lost + len(true - covered)
+    assert wanted > 500 and lost <= 0.01 * wanted, (lost, wanted)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14), st.sampled_from([1, 20, 1 << 26]))
 def test_gap_matches_is_a_longest_common_subsequence(a, b, bits):
