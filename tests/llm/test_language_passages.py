@@ -2,13 +2,16 @@
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradewind.llm import language, passages
+from tradewind.session import stored_alone
 
 
 def spoken(draw, letters, n):
@@ -339,3 +342,16 @@ def test_path_takes_the_best_of_all_paths():
             choices = [[k for k in range(n) if mask >> k & 1] for mask in range(1, 1 << n)]
             rising = [c for c in choices if all(theirs[a] < theirs[b] for a, b in zip(c, c[1:]))]
             assert worth(path, ours, theirs, size + extra) == pytest.approx(max(worth(c, ours, theirs, size + extra) for c in rising), abs=1e-6)
+
+
+def test_what_storing_shuffled_is_deleted_at_once(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.name for top in manager.localDirsString() for f in Path(top).glob("*/shuffle_*.data")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, usual = files(), spark.conf.get(name)
+    kept = stored_alone(spark.range(1000).withColumn("k", F.col("id") % 7).repartition(3, "k"))
+    assert not files() - before and spark.conf.get(name) == usual
+    assert kept.groupBy("k").count().count() == 7 and kept.count() == 1000
