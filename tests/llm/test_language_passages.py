@@ -355,3 +355,44 @@ def test_what_storing_shuffled_is_deleted_at_once(spark):
     kept = stored_alone(spark.range(1000).withColumn("k", F.col("id") % 7).repartition(3, "k"))
     assert not files() - before and spark.conf.get(name) == usual
     assert kept.groupBy("k").count().count() == 7 and kept.count() == 1000
+
+
+def test_alignments_together_are_those_of_each_alone():
+    """Also with a chain of another text between them, and with stretches of few words."""
+    draw = np.random.default_rng(11)
+    text = [f"w{k}" for k in draw.integers(0, 60, 400)]
+    known = passages.Partner(" ".join(text).encode())
+    stretch, a, b = [], [], []
+    for n in range(80):
+        start, size = int(draw.integers(0, 300)), int(draw.integers(4, 100))
+        own = known.hashes[start : start + size].copy()
+        at = int(draw.integers(0, size - 3))
+        edit = np.flatnonzero(draw.random(size) < 0.2)
+        edit = edit[(edit < at) | (edit > at + 3)]
+        own[edit] = known.hashes[draw.integers(0, 400, len(edit))] if n % 2 else np.uint64(7)
+        if n % 5 == 4:  # words left out before the chain
+            own, at = np.concatenate((own[: at // 2], own[at // 2 + at // 4 :])), at - at // 4
+        stretch.append(own)
+        a.append(np.array([at]))
+        b.append(np.array([0 if n % 9 == 8 else start + at + size - len(own)]))
+    alone = [passages.align([s], known, [x], [y])[0] for s, x, y in zip(stretch, a, b)]
+    together = passages.align(stretch, known, a, b)
+    assert [h.tolist() for h in together] == [h.tolist() for h in alone]
+    assert sum(h.any() for h in alone) > 60 and not all(h.any() for h in alone)
+
+
+def test_chains_of_a_pair_send_their_words_once():
+    """Lines that both texts repeat: a chain for each pair of places, but each word is sent once and comes back."""
+    line = [f"w{k}" for k in range(12)]
+    text = " ".join(w for k in range(40) for w in [*line, f"x{k}"]).encode()
+    row = next(passages.C.rows_of(passages.C._row(0, [1], [text])))
+    words = passages.Words(passages.C.opened(row))
+    at = np.repeat(np.arange(10, 30) * 13, 40)
+    theirs = np.tile(np.arange(40) * 13, 20)
+    sent = passages._groups(words, 0, 5, at - 100, at + 104, np.ones(len(at), dtype=np.int64), at, theirs)
+    assert [len(g["heads"]) // 16 for g in sent] == [512, 288]
+    assert sum(len(g["words"]) for g in sent) <= 2 * 8 * len(words.hashes)
+    back = [c for g in sent for c in passages._opened(g["words"], g["heads"], g["ours"], g["theirs"])]
+    assert [begin for begin, *_ in back] == (at - 100).tolist() and [int(b[0]) for *_, b in back] == theirs.tolist()
+    for begin, got, a, _ in back:
+        assert a.tolist() == [100] and (got == words.hashes[begin : begin + 204] & np.uint64(2**48 - 1)).all()
