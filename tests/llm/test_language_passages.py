@@ -396,3 +396,18 @@ def test_chains_of_a_pair_send_their_words_once():
     assert [begin for begin, *_ in back] == (at - 100).tolist() and [int(b[0]) for *_, b in back] == theirs.tolist()
     for begin, got, a, _ in back:
         assert a.tolist() == [100] and (got == words.hashes[begin : begin + 204] & np.uint64(2**48 - 1)).all()
+
+
+def test_pairs_of_a_line_that_many_texts_have_stay_numbers():
+    """A row for each chunk and bucket, however many pairs, and no object for each of them."""
+    draw = random.Random(9)
+    line = " ".join(f"w{k}" for k in range(70))
+    texts = [f"a{draw.random()} {line} b{draw.random()}".encode() for _ in range(60)]
+    words = passages.Words(passages.C.opened(next(passages.C.rows_of(passages.C._row(3, list(range(60)), texts)))))
+    keys = passages._seed_keys(words, 1)
+    places = passages._rest_places(words, keys, {}, [])
+    sent = passages.C.packed(passages._first_alike(places, np.zeros(len(places)))[0].tobytes())
+    got = passages._compare(passages.pa.table({"bucket": [0], "chunk": [3], "sent": [sent]})).to_pylist()
+    assert [r["chunk"] for r in got] == [3]
+    pairs = np.frombuffer(passages.C.unpacked(got[0]["pairs"]), dtype=np.int64).reshape(-1, 3)
+    assert {(int(words.owner[a]), p) for a, p, _ in pairs.tolist()} == {(i, k) for i in range(60) for k in range(1, i)}  # the first holder has been tried
