@@ -24,7 +24,7 @@ from tradewind.sources.upsert import read_table
 from tradewind.sources.files import Folder
 from tradewind.streaming.progress import ProgressLog, read_progress
 from tradewind.streaming.order_state import order_status_changes
-from tradewind.streaming.reservations import reserve_as_they_come
+from tradewind.streaming.reservations import SETTINGS, reserve_as_they_come
 from tradewind.streaming.runner import batch_folder_sink, start_job, upsert_sink
 from tradewind.streaming.stateful import cart_changes
 
@@ -216,19 +216,23 @@ def reservations(t: Inputs):
         "product_id", "id", "amount", F.col("created_at").alias("event_timestamp"), "quantity"
     )
     year = F.year("event_timestamp") - 1992 + F.pmod(F.xxhash64("id"), F.lit(2))
-    parts = stored(requests.withColumn("part", F.least(F.lit(3), F.floor(year / 2)).cast("int")))
+    parts = requests.withColumn("part", F.least(F.lit(3), F.floor(year / 2)).cast("int"))
     files = 1
     for part in range(4):
-        parts.filter(F.col("part") == part).drop("part").write.parquet(f"{folder}/in/part={part}")
+        parts.filter(F.col("part") == part).drop("part").write.option("compression", "zstd").parquet(f"{folder}/in/part={part}")
         # A part is a trigger's worth, however many files its tasks have written.
         files = max(files, len(t.spark.read.schema(requests.schema).parquet(f"{folder}/in/part={part}").inputFiles()))
         if part in (1, 3):
-            source = t.spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in/part=*")
+            # What a batch has read is deleted when the next one begins, and the rest in the end.
+            reader = t.spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", files).option("cleanSource", "delete")
+            source = reader.parquet(f"{folder}/in/part=*")
             decided = reserve_as_they_come(source, t.products, ("id", "amount"), "800 days")
-            started = start_job(decided, batch_folder_sink(f"{folder}/out"), f"reserve-{uuid4().hex}", None, "append", f"{folder}/checkpoint")
+            sink, name = batch_folder_sink(f"{folder}/out", merged=False), f"reserve-{uuid4().hex}"
+            started = start_job(decided, sink, name, None, "append", f"{folder}/checkpoint", SETTINGS)
             started.awaitTermination()
             if started.exception() is not None:
                 raise started.exception()
+            Folder(t.spark, f"{folder}/in").remove()
     return t.spark.read.parquet(f"{folder}/out").drop("run", "batch_id").withColumn("quantity", F.col("quantity").cast("int"))
 
 

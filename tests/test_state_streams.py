@@ -2,16 +2,20 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from checks import streams
+from checks.inputs import Inputs
 from tradewind.plans.orders import STEP_OF_STATUS
+from tradewind.session import durable_folder
 from tradewind.sources.sinks import read_current
 from tradewind.streaming.order_state import furthest, order_status_changes
-from tradewind.streaming.reservations import reserve_as_they_come
-from tradewind.streaming.runner import batch_folder_sink, start_job
+from tradewind.streaming.reservations import SETTINGS, reserve_as_they_come
+from tradewind.streaming.runner import BatchFolderSink, batch_folder_sink, start_job
 
 NOON = datetime(2024, 3, 5, 12)
 LOG = "event_type string, order_id string, event_timestamp timestamp"
@@ -143,6 +147,63 @@ def test_products_share_shelves_of_state(spark, tmp_path, rows):
     assert rows(found.na.fill(0, ["quantity"])) == expected
 
 
+def test_batches_leave_no_shuffle_files_and_replaced_state(spark, tmp_path, rows):
+    """Written as they come: equal rows, no folder for an empty batch, nothing shuffled left, early batches not kept."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    left = []
+
+    def shuffled():
+        return {f.name for top in manager.localDirsString() for f in Path(top).glob("*/shuffle_*.data")}
+
+    class Noted(BatchFolderSink):
+        def __call__(self, batch, batch_id):
+            left.append(shuffled() - before)
+            super().__call__(batch, batch_id)
+            during.append(shuffled() - before)
+
+    before, during = shuffled(), []
+    usual = {key: spark.conf.get(key, None) for key in SETTINGS}
+    stock = [("p", 10), ("q", 3)]
+    sent = [(draw, f"o{i}", 1 + i % 3, minutes(i)) for i, draw in enumerate("pqx" * 20)]
+    feed = Feed(spark, tmp_path, REQUEST)
+    products = spark.createDataFrame(stock, "product_id string, stock int")
+    for at in range(0, 60, 15):
+        feed.send(*sent[at : at + 15])
+    source = spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    decided = reserve_as_they_come(source, products, watermark="12 minutes", shelves=2)
+    sink = Noted(str(tmp_path / "out"), merged=False)
+    query = start_job(decided, sink, "job", None, "append", str(tmp_path / "checkpoint"), SETTINGS)
+    query.awaitTermination(180)
+    assert query.exception() is None
+    left.append(shuffled() - before)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(found.drop("run", "batch_id")) == greedy(stock, sent, minutes(47))
+    # The first batch has no watermark, so it decides nothing.
+    stored = {f.name for f in (tmp_path / "out").glob("run=*/*")}
+    assert stored == {f"batch_id={k}" for k in range(1, len(during))} and found.select("batch_id").distinct().count() == len(stored)
+    kept = [int(f.name) for f in (tmp_path / "checkpoint" / "commits").glob("[0-9]*")]
+    assert max(kept) == len(during) - 1 and len(kept) < len(during)
+    assert all(during[:-1]) and left == [set()] * len(left)
+    assert {key: spark.conf.get(key, None) for key in SETTINGS} == usual
+
+
+def test_the_check_keeps_neither_its_input_nor_a_copy(spark, tmp_path, rows):
+    """What a stream has read is deleted, and no table is stored beside it."""
+    lines = [(i, i % 3, 7, 1, float(1 + i % 4), 5.0 * i, "N", "O", datetime(1995, 1, 1) + timedelta(days=40 * i)) for i in range(60)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    parts = [(k, f"n{k}", 30, 1.0) for k in range(2)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_size int, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    top = Path(durable_folder(spark).removeprefix("file:"))
+    earlier = {name: set(top.glob(name)) for name in ("tables/*", "runs/reserve-*")}
+    found = streams.reservations(Inputs(spark, str(tmp_path)))
+    until = lines[-1][-1] - timedelta(days=800)
+    wanted = greedy({f"PROD-{k}": 30 for k in range(2)}, [(f"PROD-{r[1]}", f"{r[0]}-1-7-{r[1]}-{int(r[4])}", int(r[4]), r[-1]) for r in lines], until)
+    assert rows(found.select("product_id", "event_timestamp", "id", "quantity", "accepted")) == wanted
+    (folder,) = set(top.glob("runs/reserve-*")) - earlier["runs/reserve-*"]
+    assert not list(folder.glob("in/*/part-*")) and set(top.glob("tables/*")) == earlier["tables/*"]
+
+
 def test_reserved_quantities_are_whole(spark, tmp_path):
     feed = Feed(spark, tmp_path, REQUEST.replace("quantity int", "quantity double"))
     source = spark.readStream.schema(feed.schema).parquet(str(tmp_path))

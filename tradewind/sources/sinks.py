@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators.joins import newest_rows
 from tradewind.schemas import DEAD_LETTER_TOPIC
+from tradewind.sources.files import Folder
 
 RUN, BATCH = "run", "batch_id"
 
@@ -56,14 +57,20 @@ def write_jdbc(df: DataFrame, connection: dict[str, str], table: str, mode: str,
     )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, run: str = "r0") -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str = "r0", merged: bool = True) -> None:
     """Store one micro-batch of a run; storing the same batch again replaces it.
 
     Batch ids begin at 0 with each new checkpoint, so ``run`` keeps the batches of a later checkpoint apart
     and in order (``files.run_token``). Rebalancing merges the batch's many small state partitions into files
-    of a sensible size.
+    of a sensible size. Without ``merged``, tasks store their rows as they are, and a folder without rows is removed.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")
+    folder = f"{path}/{RUN}={run}/{BATCH}={batch_id}"
+    if merged:
+        df.hint("rebalance").write.mode("overwrite").parquet(folder)
+        return
+    df.write.mode("overwrite").parquet(folder)
+    if not df.sparkSession.read.schema(df.schema).parquet(folder).take(1):
+        Folder(df.sparkSession, folder).remove()
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
