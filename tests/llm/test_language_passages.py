@@ -411,3 +411,87 @@ def test_pairs_of_a_line_that_many_texts_have_stay_numbers():
     assert [r["chunk"] for r in got] == [3]
     pairs = np.frombuffer(passages.C.unpacked(got[0]["pairs"]), dtype=np.int64).reshape(-1, 3)
     assert {(int(words.owner[a]), p) for a, p, _ in pairs.tolist()} == {(i, k) for i in range(60) for k in range(1, i)}  # the first holder has been tried
+
+
+def aligned_alone(known, chains):
+    found = set()
+    for begin, words, a, b in chains:
+        (hit,) = passages.align([words], known, [a], [b])
+        found.update((begin + x, begin + y) for x, y in passages.stretches(hit))
+    return found
+
+
+def runs_of(draw, kinds, n, most):
+    """Runs of one word, here and there with other words between them."""
+    text = []
+    for _ in range(n):
+        text += [f"w{draw.randrange(kinds)}"] * draw.randrange(1, most)
+        if draw.random() < 0.3:
+            text += [f"x{draw.randrange(10)}" for _ in range(draw.randrange(1, 40))]
+    return text
+
+
+def seeds_of_runs(ours, theirs, around=2 * passages.LENGTH):
+    """One group with a chain for each diagonal of two runs of a word, as the third round makes them."""
+    words = passages.Words(passages.C.opened(next(passages.C.rows_of(passages.C._row(0, [1], [" ".join(ours).encode()])))))
+    pairs = [(x, y) for x in range(len(ours) - 3) for y in range(len(theirs) - 3)
+             if len({*ours[x : x + 4], *theirs[y : y + 4]}) == 1 and (not x or not y or ours[x - 1] != theirs[y - 1])]
+    if not pairs:
+        return None
+    at, theirs_at = np.array(pairs).T
+    left, right = np.maximum(0, at - around), np.minimum(len(ours), at + passages.SEED + around)
+    return passages._groups(words, 0, 5, left, right, np.ones(len(at), dtype=np.int64), at, theirs_at)
+
+
+@pytest.mark.parametrize("kinds, most", [(40, 90), (6, 90), (3, 60), (200, 130)])
+def test_settled_chains_have_the_passages_of_their_alignments(kinds, most):
+    draw = random.Random(kinds)
+    settled = found = 0
+    for _ in range(6):
+        ours, theirs = runs_of(draw, kinds, 4, most), runs_of(draw, kinds, 5, most)
+        theirs += ["between"] * 3 + ours[: len(ours) // 3]  # also in the same order
+        known = passages.Partner(" ".join(theirs).encode())
+        for group in seeds_of_runs(ours, theirs) or []:
+            arrays = passages._arrays(*(group[c] for c in ("words", "heads", "ours", "theirs")))
+            done, spans = passages.settled(known, *arrays)
+            assert set(map(tuple, spans.tolist())) == aligned_alone(known, passages._cut(*arrays, done))
+            settled, found = settled + done.sum(), found + len(spans)
+    assert settled > 50 and found > 0
+
+
+def test_runs_of_one_word_are_not_aligned_on_every_diagonal():
+    """Runs among other words on both sides: 60 + 80 diagonals and no alignment, and the passages are the blocks."""
+    ours = [f"a{k}" for k in range(120)] + ["w"] * 60 + [f"b{k}" for k in range(120)]
+    theirs = [f"c{k}" for k in range(90)] + ["w"] * 80 + [f"d{k}" for k in range(90)]
+    (group,) = seeds_of_runs(ours, theirs)
+    arrays = passages._arrays(*(group[c] for c in ("words", "heads", "ours", "theirs")))
+    known = passages.Partner(" ".join(theirs).encode())
+    done, spans = passages.settled(known, *arrays)
+    assert len(done) > 100 and done.all()
+    assert set(map(tuple, spans.tolist())) == {(120, 120 + k) for k in range(50, 61)} | {(180 - k, 180) for k in range(50, 61)}
+    assert passages._maximal(set(map(tuple, spans.tolist()))) == [(120, 180)]
+    assert set(map(tuple, spans.tolist())) == aligned_alone(known, passages._cut(*arrays, np.ones(len(done), dtype=bool)))
+    # Another run of the word in the partner: what lies beyond the block can match it.
+    more = theirs + ["w"] * 30
+    done, _ = passages.settled(passages.Partner(" ".join(more).encode()), *arrays)
+    assert not done.all()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(1, 20)), max_size=12))
+def test_spans_in_others_change_no_cover(spans):
+    """As ``_fewest`` takes them, of all spans or of those that are in no other."""
+
+    def fewest(all_spans):
+        done = []
+        for s in sorted(all_spans):
+            if done and s[1] <= done[-1][1]:
+                continue
+            if done and (s[0] == done[-1][0] or len(done) > 1 and s[0] <= done[-2][1]):
+                done[-1] = s
+            else:
+                done.append(s)
+        return done
+
+    spans = {(a, a + n) for a, n in spans}
+    assert fewest(passages._maximal(spans)) == fewest(spans)
